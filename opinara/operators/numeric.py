@@ -175,8 +175,13 @@ def _bin(column: Column, p: dict, bins: int) -> Column:
     x, low, width = _value(column), float(p["min"]), float(p["max"] - p["min"])
     if not width:
         return F.when(x.isNotNull(), F.lit(0.0))
-    step = F.floor((x - F.lit(low)) / F.lit(width) * F.lit(bins))
-    return F.least(F.greatest(step, F.lit(0)), F.lit(bins - 1)).cast("double")
+    # Guess by division, then settle against the exact edge, as rounding may differ.
+    step = width / bins
+    guess = F.least(F.greatest(F.floor((x - F.lit(low)) / F.lit(step)), F.lit(0)), F.lit(bins - 1))
+    edge = lambda i: i * F.lit(step) + F.lit(low)
+    settled = (F.when((guess < bins - 1) & (x >= edge(guess + 1)), guess + 1)
+               .when((guess > 0) & (x < edge(guess)), guess - 1).otherwise(guess))
+    return F.when(x.isNotNull(), settled.cast("double"))
 
 
 IMPUTE_STATS = {"mean": "mean", "median": "median", "most_frequent": "mode"}
