@@ -33,7 +33,7 @@ def emoji_to_words(text: Column, names: dict[str, str] | None = None) -> Column:
     regex scan.
     """
     names = L.EMOJI_NAMES if names is None else names
-    table = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    table = _literal_map({symbol: _quoted(name) for symbol, name in names.items()})
 
     def spell(acc: Column, symbol: Column) -> Column:
         unicode_name = F.call_function("java_method", F.lit("java.lang.Character"),
@@ -61,6 +61,15 @@ def _let(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _literal_map(entries: dict[str, str]) -> Column:
+    """A map literal from text keys to SQL values, parsed in one go."""
+    return F.expr("map(" + ", ".join(f"{_quoted(k)}, {v}" for k, v in entries.items()) + ")")
+
+
 def _java(template: str) -> str:
     return template.replace("{", "$").replace("}", "")
 
@@ -77,27 +86,30 @@ def _split_word(word: Column) -> Column:
     return F.filter(F.split(padded, " +"), lambda t: t != "")
 
 
-def _tokens(text: Column, plain, mixed) -> Column:
-    """Split on whitespace; ``plain`` handles alphanumeric words, ``mixed`` the others.
+def _tokens(text: Column, mixed=lambda ws: ws) -> Column:
+    """Split on whitespace, then split words that hold punctuation; ``mixed`` filters those.
 
     Most words are plain, so the punctuation rules run on a small share of them.
     """
     pairs = {w: p for w, p in L.TOKEN_PAIRS.items() if w.isalnum()}
-    table = F.create_map(*[F.split(F.lit(x), " ") if i % 2 else F.lit(x)
-                           for w in pairs.items() for i, x in enumerate(w)])
-    return F.flatten(F.transform(
-        F.split(F.regexp_replace(F.trim(text), f"^{L.WHITESPACE}+|{L.WHITESPACE}+$", ""), f"{L.WHITESPACE}+"),
-        lambda w: F.when(w.isin(list(pairs)), plain(F.element_at(table, w)))
-        .when(w.rlike(L.ALNUM_TOKEN), plain(F.array(w)))
-        # The commonest mixed shape, a word and one closing mark, needs no rule.
-        .when(w.rlike(r"^[\p{L}\p{N}]+[.,:;!?]$") & ~F.left(w, F.length(w) - 1).isin(list(pairs)),
-              mixed(F.array(F.left(w, F.length(w) - 1), F.right(w, F.lit(1)))))
-        .otherwise(mixed(_split_word(w)))))
+    table = _literal_map({w: "array(" + ", ".join(map(_quoted, p.split())) + ")" for w, p in pairs.items()})
+    trimmed = F.regexp_replace(F.trim(text), f"^{L.WHITESPACE}+|{L.WHITESPACE}+$", "")
+
+    def split(w: Column) -> Column:
+        stem = F.left(w, F.length(w) - 1)
+        return (F.when(w.isin(list(pairs)), F.element_at(table, w))
+                .when(w.rlike(L.ALNUM_TOKEN), F.array(w))
+                # The commonest mixed shape, a word and one closing mark, needs no rule.
+                .when(w.rlike(r"^[\p{L}\p{N}]+[.,:;!?]$") & ~stem.isin(list(pairs)),
+                      mixed(F.array(stem, F.right(w, F.lit(1)))))
+                .otherwise(mixed(_split_word(w))))
+
+    return F.flatten(F.transform(F.split(trimmed, f"{L.WHITESPACE}+"), split))
 
 
 def tokenize(text: Column) -> Column:
     """Treebank-style token array."""
-    return _tokens(text, lambda ws: ws, lambda ws: ws)
+    return F.filter(_tokens(text), lambda t: t != "")
 
 
 def stopwords(language: str = "english", project: bool = False, algorithm: str = "KNN") -> list[str]:
@@ -128,8 +140,7 @@ def prepare(text: Column, language: str = "english") -> Column:
 def clean_tokens(text: Column, language: str = "english", words: list[str] | None = None) -> Column:
     """Tokens left after stop words and punctuation are gone."""
     words = stopwords(language) if words is None else words
-    return _tokens(prepare(text, language), lambda ws: drop_stopwords(ws, words),
-                   lambda ws: drop_stopwords(alnum_only(ws), words))
+    return drop_stopwords(_tokens(prepare(text, language), alnum_only), words)
 
 
 def join_tokens(tokens: Column) -> Column:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from opinara.operators.lookup import lookup_join
 from opinara.operators.sampling import class_counts
+from opinara.session import materialize
 
 VAR_SMOOTHING = 1e-9
 
@@ -95,10 +96,10 @@ def fit_term_bayes(labelled: DataFrame, weights: DataFrame, key: str, target: st
     rows = class_counts(labelled, target)
     labels = sorted(rows)
     facts = weights.select(key, "term", "weight").join(labelled.select(key, target), key)
-    terms = facts.groupBy("term").agg(
+    terms = materialize(facts.groupBy("term").agg(
         F.sum("weight").alias("total"),
         *[F.sum(F.when(F.col(target) == F.lit(c), F.col("weight")).otherwise(0.0)).alias(f"c{i}")
-          for i, c in enumerate(labels)])
+          for i, c in enumerate(labels)]), "term-classes")
     sums = terms.agg(F.count("*").alias("n"), *[F.sum(f"c{i}").alias(f"c{i}") for i in range(len(labels))]).first()
     return TermBayes(kind, key, labels, rows, terms, sums["n"],
                      {c: sums[f"c{i}"] or 0.0 for i, c in enumerate(labels)})

@@ -6,6 +6,7 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from opinara.session import small_table
 
 SEED = 42
 KEYWORDS = 10
@@ -74,5 +75,5 @@ def kmeans_elbow(vectors: DataFrame, ks: list[int], n_init: int = 10,
     """``(numero_clusters_k, inercia)`` and the fitted model of every k."""
     fits = {k: kmeans_fit(vectors, k, n_init, features) for k in ks}
     rows = [(k, float(cost)) for k, (_, cost) in fits.items()]
-    curve = vectors.sparkSession.createDataFrame(rows, "numero_clusters_k int, inercia double")
+    curve = small_table(vectors.sparkSession, rows, "numero_clusters_k int, inercia double")
     return curve, {k: model for k, (model, _) in fits.items()}

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from opinara.session import small_table
 
 DECIMALS = 4
 
@@ -32,7 +33,7 @@ def confusion_matrix(counts: DataFrame, labels: list[str] | None = None) -> Data
     has exactly those rows and columns, zeros included.
     """
     labels = union_labels(counts) if labels is None else labels
-    rows = counts.sparkSession.createDataFrame([(x,) for x in labels], "real string")
+    rows = small_table(counts.sparkSession, [(x,) for x in labels], "real string")
     wide = (counts.filter(F.col("real").isin(labels)).groupBy("real")
             .agg(*[F.sum(F.when(F.col("pred") == x, F.col("n")).otherwise(0)).alias(f"pred_{x}")
                    for x in labels]))

@@ -12,6 +12,7 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from opinara.session import small_table
 
 
 def numeric_columns(df: DataFrame, exclude: list[str] | None = None) -> list[str]:
@@ -122,7 +123,7 @@ def column_stats(df: DataFrame, columns: list[str], stats: list[str]) -> DataFra
     learnt = learn_stats(df, columns, stats)
     rows = [(c, *[learnt[c][s] for s in stats]) for c in columns]
     schema = ", ".join(["column string"] + [f"`{s}` double" for s in stats])
-    return df.sparkSession.createDataFrame(rows, schema)
+    return small_table(df.sparkSession, rows, schema)
 
 
 @dataclass
@@ -219,7 +220,7 @@ def fit_discretize(df: DataFrame, columns: list[str], bins: int = 5) -> NumericM
 def save_models(spark: SparkSession, models: list[NumericModel], path: str) -> None:
     """Keep fitted transforms, in order, as a small table."""
     rows = [(i, m.to_json()) for i, m in enumerate(models)]
-    spark.createDataFrame(rows, "step int, model string").coalesce(1).write.mode("overwrite").parquet(path)
+    small_table(spark, rows, "step int, model string").coalesce(1).write.mode("overwrite").parquet(path)
 
 
 def load_models(spark: SparkSession, path: str) -> list[NumericModel]:

@@ -17,12 +17,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from opinara.functions.hashing import draw_int, order_hash
+from opinara.session import small_table
 
 SEED = 42
 # Rows to rank at most (on average) inside one hash bucket.
 BUCKET_ROWS = 50_000
 # Class tables live on the driver; more labels than this is not a class column.
 MAX_CLASSES = 100_000
+# Up to this many, class boundaries are written into the plan.
+LITERAL_CLASSES = 64
 
 
 def class_counts(df: DataFrame, by: str) -> dict:
@@ -71,7 +74,7 @@ def boundaries(df: DataFrame, key: str, by: str, quotas: Mapping[str, Mapping],
     wanted = [(c, name, int(min(q[c], counts[c]))) for name, q in quotas.items() for c in counts
               if q.get(c, 0) > 0]
     schema = f"`{by}` {df.schema[by].dataType.simpleString()}, __name string, __quota bigint"
-    targets = F.broadcast(spark.createDataFrame(wanted, schema))
+    targets = F.broadcast(small_table(spark, wanted, schema))
     edge = (sizes.join(targets, by)
             .filter((F.col("__before") < F.col("__quota"))
                     & (F.col("__quota") <= F.col("__before") + F.col("__n")))
@@ -91,13 +94,32 @@ def with_parts(df: DataFrame, key: str, by: str, cuts: Mapping[str, Mapping], co
     ``cuts`` maps part name to cumulative quota per class. Rows without a class
     belong to no part and are left out.
     """
-    edges = boundaries(df, key, by, cuts, counts, seed)
-    marked = df.filter(F.col(by).isNotNull()).join(F.broadcast(edges), by, "left")
+    edges = boundaries(df, key, by, cuts, counts, seed).collect()
     here = F.struct(order_hash(seed, key).alias("__hash"), F.col(key).alias("__key"))
+    key_type = df.schema[key].dataType.simpleString()
+    edge_type = f"struct<__hash:string,__key:{key_type}>"
+    named = {name: {r[by]: r[name] for r in edges if r[name] is not None} for name in cuts}
+    known = df.filter(F.col(by).isNotNull())
+    if len(counts) <= LITERAL_CLASSES:
+        # A few classes: the boundaries are literals of a projection.
+        def limit(name):
+            cells = [x for c, e in named[name].items()
+                     for x in (F.lit(c), F.struct(F.lit(e[0]).alias("__hash"), F.lit(e[1]).alias("__key")).cast(edge_type))]
+            return (F.try_element_at(F.create_map(*cells), F.col(by)) if cells
+                    else F.lit(None).cast(edge_type))
+        limits = {name: limit(name) for name in cuts}
+    else:
+        # Many classes (their number is checked): one broadcast row each.
+        rows = [(c, *[(named[n][c][0], named[n][c][1]) if c in named[n] else None for n in cuts]) for c in counts]
+        schema = f"`{by}` {df.schema[by].dataType.simpleString()}, " + ", ".join(
+            f"`{name}` {edge_type}" for name in cuts)
+        table = df.sparkSession.createDataFrame(rows, schema)
+        known = known.join(F.broadcast(table), by, "left")
+        limits = {name: F.col(name) for name in cuts}
     part: Column = F.lit(rest)
     for name in reversed(list(cuts)):
-        part = F.when(here <= F.col(name), F.lit(name)).otherwise(part)
-    return marked.withColumn(part_col, part).select(*df.columns, part_col)
+        part = F.when(here <= limits[name], F.lit(name)).otherwise(part)
+    return known.withColumn(part_col, part).select(*df.columns, part_col)
 
 
 def stratified_split(df: DataFrame, key: str, by: str, test_size: float = 0.2, seed: int = SEED,

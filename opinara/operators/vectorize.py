@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from opinara.functions import cleaning
 from opinara.operators.lookup import lookup_join
-from opinara.session import materialize, spread
+from opinara.session import materialize
 
 METHODS = {"tf-idf": "tfidf", "frequency": "frequency", "one-hot": "onehot"}
 
@@ -31,7 +31,7 @@ def term_counts(df: DataFrame, key: str, tokens: Column, up_to: int = 1) -> Data
     The count is combined before the shuffle, in the task that exploded the
     document, so a long document ships each word once.
     """
-    grams = gram_column(spread(df, key), tokens, up_to)
+    grams = gram_column(df, tokens, up_to)
     return (grams.select(key, F.explode("grams").alias("term")).groupBy(key, "term")
             .agg(F.count("*").alias("tf")))
 
@@ -93,6 +93,7 @@ class TextVectors:
         return self.weigh(self.counts)
 
     def transform(self, df: DataFrame, tokens: Column) -> DataFrame:
+        """Another table, weighed with the learnt vocabulary."""
         return self.weigh(term_counts(df, self.key, tokens, self.up_to))
 
 
@@ -122,7 +123,7 @@ def presence_texts(weights: DataFrame, key: str) -> DataFrame:
 
 def bow_corpus(weights: DataFrame, numbered: DataFrame, key: str) -> DataFrame:
     """Each document as ``array<struct<idx, weight>>`` ordered by term index."""
-    entries = numbered.select("term", "df", "idx")
+    entries = materialize(numbered.select("term", "df", "idx"), "numbered-terms")
     indexed = lookup_join(weights.filter(F.col("weight") > 0), entries, "term", "df")
     return (indexed.groupBy(key)
             .agg(F.array_sort(F.collect_list(F.struct("idx", "weight"))).alias("bow")))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from opinara.functions import cleaning, lexicons
 from opinara.functions.stemming import stem
 from opinara.operators.lookup import lookup_join
-from opinara.session import materialize, spread
+from opinara.session import materialize
 
 
 def token_rows(df: DataFrame, key: str, tokens: Column) -> DataFrame:
@@ -21,7 +21,7 @@ def token_rows(df: DataFrame, key: str, tokens: Column) -> DataFrame:
     The token arrays are written once: counting the distinct words and joining
     them back both read them, and neither should clean the text again.
     """
-    kept = materialize(spread(df, key).select(key, tokens.alias("tokens")), "tokens")
+    kept = materialize(df.select(key, tokens.alias("tokens")), "tokens")
     return kept.select(key, F.posexplode("tokens").alias("pos", "word"))
 
 
@@ -32,12 +32,13 @@ def word_counts(tokens: DataFrame) -> DataFrame:
 def drop_listed(tokens: DataFrame, listed: DataFrame) -> DataFrame:
     """Token rows whose word is not in ``listed(word)``, however long that list is."""
     kept = word_counts(tokens).join(listed.select("word").distinct(), "word", "left_anti")
-    return lookup_join(tokens, kept, "word", "n").drop("n")
+    return lookup_join(tokens, materialize(kept, "kept-words"), "word", "n").drop("n")
 
 
 def replace_words(tokens: DataFrame, mapping: DataFrame, out: str) -> DataFrame:
     """Add ``out`` from ``mapping(word, out, n)``, which covers every word."""
-    return lookup_join(tokens, mapping.select("word", out, "n"), "word", "n").drop("n")
+    table = materialize(mapping.select("word", out, "n"), "word-map")
+    return lookup_join(tokens, table, "word", "n").drop("n")
 
 
 def lexicon_join(tokens: DataFrame, lexicon: DataFrame, out: str = "replacement") -> DataFrame:

@@ -7,6 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from opinara.session import spread
 from opinara.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +20,11 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
+    @property
+    def texts(self) -> DataFrame:
+        """The documents, spread over the cores for per-row text work."""
+        return spread(self.documents, "doc_id")
+
     def __getattr__(self, name: str) -> DataFrame:
         return read_table(self.spark, self.folder, name)
 

@@ -179,9 +179,9 @@ def confusion_matrix_fixed(t):
 def prf_sql(scored: str, average: str, positive: str = "1", by: str = "") -> str:
     """SQL of the scores over ``scored(real, pred)``."""
     b = f"{by}, " if by else ""
-    per = f"""lab AS (SELECT {b}real l, CAST(real = pred AS INT) tp, 0 fp, CAST(real <> pred AS INT) fn FROM scored
+    per = f"""lbl AS (SELECT {b}real l, CAST(real = pred AS INT) tp, 0 fp, CAST(real <> pred AS INT) fn FROM scored
   UNION ALL SELECT {b}pred, 0, CAST(real <> pred AS INT), 0 FROM scored),
-per AS (SELECT {b}l, sum(tp) tp, sum(fp) fp, sum(fn) fn FROM lab GROUP BY {b}l)"""
+per AS (SELECT {b}l, sum(tp) tp, sum(fp) fp, sum(fn) fn FROM lbl GROUP BY {b}l)"""
     p, r, f = ("CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END", "CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END",
                "CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0 END")
     group = f"GROUP BY {by}" if by else ""

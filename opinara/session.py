@@ -6,7 +6,10 @@ import os
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 SQL_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -69,8 +72,16 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Hash rows over the cores when the scan gives fewer tasks than there are cores.
 
-    A table of any real size already has more splits than cores and is
-    returned as it is.
+    For plain scans ahead of heavy per-row work. A table of any real size
+    already has more splits than cores and is returned as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
+def small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A driver-side table of a few rows, planned as a local relation."""
+    fields = to_arrow_schema(StructType.fromDDL(schema))
+    columns = list(zip(*rows)) if rows else [()] * len(fields)
+    arrays = [pa.array(list(c), type=f.type) for c, f in zip(columns, fields)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=fields))
