@@ -8,15 +8,17 @@ stays distributed. Gaussian and categorical models are a few numbers per
 
 from __future__ import annotations
 
+import json
 import math
+import os
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinara.operators.lookup import lookup_join
 from opinara.operators.sampling import class_counts
-from opinara.session import materialize
+from opinara.session import materialize, small_table
 
 VAR_SMOOTHING = 1e-9
 
@@ -70,6 +72,12 @@ class TermBayes:
                   .na.fill(0.0, ["length"] + [f"s{i}" for i in range(len(self.labels))]))
         return scored.select(self.key, "alpha", pick_label(self._scores(), self.labels).alias("prediction"))
 
+    def save(self, path: str) -> None:
+        _save_state(path, {"kind": self.kind, "key": self.key, "labels": self.labels,
+                           "rows": list(self.rows.items()), "n_terms": self.n_terms,
+                           "totals": list(self.totals.items())})
+        self.terms.write.mode("overwrite").parquet(os.path.join(path, "terms"))
+
     def _mass(self, i: int) -> Column:
         own = F.col(f"c{i}")
         return own if self.kind == "multinomial" else F.col("total") - own
@@ -125,6 +133,32 @@ class GaussianBayes:
             scores.append(score)
         return df.withColumn(prediction, pick_label(scores, self.labels))
 
+    def save(self, path: str) -> None:
+        _save_state(path, {"kind": "gaussian", "labels": self.labels, "features": self.features,
+                           "rows": list(self.rows.items()),
+                           "stats": [[c, f, m, self.var[c, f]] for (c, f), m in self.mean.items()]})
+
+
+def _save_state(path: str, state: dict) -> None:
+    small_table(SparkSession.active(), [(json.dumps(state),)], "state string").write.mode("overwrite").parquet(
+        os.path.join(path, "state"))
+
+
+def load_bayes(spark: SparkSession, path: str) -> TermBayes | GaussianBayes | CategoricalBayes:
+    """Read back whichever model was saved."""
+    state = json.loads(spark.read.parquet(os.path.join(path, "state")).first()["state"])
+    rows = {c: n for c, n in state["rows"]}
+    if state["kind"] == "gaussian":
+        mean = {(c, f): m for c, f, m, _ in state["stats"]}
+        var = {(c, f): v for c, f, _, v in state["stats"]}
+        return GaussianBayes(state["labels"], state["features"], rows, mean, var)
+    if state["kind"] == "categorical":
+        counts = {(c, f, b): n for c, f, b, n in state["counts"]}
+        return CategoricalBayes(state["labels"], state["features"], rows, counts, state["sizes"])
+    return TermBayes(state["kind"], state["key"], state["labels"], rows,
+                     spark.read.parquet(os.path.join(path, "terms")), state["n_terms"],
+                     {c: v for c, v in state["totals"]})
+
 
 def fit_gaussian(df: DataFrame, features: list[str], target: str) -> GaussianBayes:
     """Mean and population variance per (class, feature), smoothed by the widest feature."""
@@ -149,19 +183,28 @@ class CategoricalBayes:
     sizes: dict
 
     def predict(self, df: DataFrame, alpha: float = 1.0, prediction: str = "prediction") -> DataFrame:
+        return self.predict_many(df, [alpha], prediction).drop("alpha")
+
+    def predict_many(self, df: DataFrame, alphas: list[float], prediction: str = "prediction") -> DataFrame:
+        """The rows once per alpha, with ``alpha`` and the prediction, in one scan."""
+        alpha = F.col("alpha")
         n = sum(self.rows.values())
         scores = []
         for c in self.labels:
             score = F.lit(math.log(self.rows[c] / n))
             for f in self.features:
-                below = math.log(self.rows[c] + alpha * self.sizes[f])
-                seen = [math.log(self.counts.get((c, f, b), 0) + alpha) - below for b in range(self.sizes[f])]
-                unseen = math.log(alpha) - below
-                table = F.array(*[F.lit(x) for x in seen])
-                code = F.col(f).cast("int")
-                score = score + F.coalesce(F.get(table, code), F.lit(unseen))
+                table = [float(self.counts.get((c, f, b), 0)) for b in range(self.sizes[f])]
+                seen = F.get(F.expr("array(" + ", ".join(f"{x}D" for x in table) + ")"), F.col(f).cast("int"))
+                score = score + F.log(F.coalesce(seen, F.lit(0.0)) + alpha) - F.log(
+                    F.lit(float(self.rows[c])) + alpha * F.lit(float(self.sizes[f])))
             scores.append(score)
-        return df.withColumn(prediction, pick_label(scores, self.labels))
+        grid = F.explode(F.array(*[F.lit(float(a)) for a in alphas])).alias("alpha")
+        return df.select("*", grid).withColumn(prediction, pick_label(scores, self.labels))
+
+    def save(self, path: str) -> None:
+        _save_state(path, {"kind": "categorical", "labels": self.labels, "features": self.features,
+                           "rows": list(self.rows.items()), "sizes": self.sizes,
+                           "counts": [[*k, n] for k, n in self.counts.items()]})
 
 
 # Codes of one categorical feature; a learnt table is a literal of the plan.
