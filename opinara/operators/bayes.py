@@ -29,13 +29,15 @@ def alpha_grid(low: float = 0.01, high: float = 1.0, step: float = 0.01) -> list
     return [round(low + i * step, 4) for i in range(n)]
 
 
-def pick_label(scores: list[Column], labels: list) -> Column:
-    """The label of the highest score; the first one wins a tie."""
-    best = F.greatest(*scores)
-    out = F.lit(labels[-1])
-    for score, label in reversed(list(zip(scores[:-1], labels[:-1]))):
-        out = F.when(score == best, F.lit(label)).otherwise(out)
-    return out
+def pick_label(df: DataFrame, scores: list[Column], labels: list, prediction: str) -> DataFrame:
+    """Add the label of the highest score; the first one wins a tie.
+
+    The scores become a column of their own first, so each is computed once.
+    """
+    best = F.array_position("__scores", F.array_max("__scores")).cast("int")
+    return (df.withColumn("__scores", F.array(*scores))
+            .withColumn(prediction, F.element_at(F.array(*[F.lit(c) for c in labels]), best))
+            .drop("__scores"))
 
 
 @dataclass
@@ -70,7 +72,8 @@ class TermBayes:
                   .agg(F.sum("weight").alias("length"), *sums))
         scored = (keys.select(self.key, grid).join(folded, [self.key, "alpha"], "left")
                   .na.fill(0.0, ["length"] + [f"s{i}" for i in range(len(self.labels))]))
-        return scored.select(self.key, "alpha", pick_label(self._scores(), self.labels).alias("prediction"))
+        return (pick_label(scored, self._scores(), self.labels, "prediction")
+                .select(self.key, "alpha", "prediction"))
 
     def save(self, path: str) -> None:
         _save_state(path, {"kind": self.kind, "key": self.key, "labels": self.labels,
@@ -131,7 +134,7 @@ class GaussianBayes:
                 gap = F.col(f).cast("double") - F.lit(m)
                 score = score - F.lit(0.5 * math.log(2 * math.pi * v)) - gap * gap / F.lit(2 * v)
             scores.append(score)
-        return df.withColumn(prediction, pick_label(scores, self.labels))
+        return pick_label(df, scores, self.labels, prediction)
 
     def save(self, path: str) -> None:
         _save_state(path, {"kind": "gaussian", "labels": self.labels, "features": self.features,
@@ -199,7 +202,7 @@ class CategoricalBayes:
                     F.lit(float(self.rows[c])) + alpha * F.lit(float(self.sizes[f])))
             scores.append(score)
         grid = F.explode(F.array(*[F.lit(float(a)) for a in alphas])).alias("alpha")
-        return df.select("*", grid).withColumn(prediction, pick_label(scores, self.labels))
+        return pick_label(df.select("*", grid), scores, self.labels, prediction)
 
     def save(self, path: str) -> None:
         _save_state(path, {"kind": "categorical", "labels": self.labels, "features": self.features,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -11,6 +13,8 @@ from opinara.session import small_table
 SEED = 42
 KEYWORDS = 10
 DECIMALS = 5
+# Starts that run side by side on the same vectors.
+PARALLEL_STARTS = 4
 
 
 def cluster_sizes(assigned: DataFrame, cluster: str = "cluster_id") -> DataFrame:
@@ -60,14 +64,13 @@ def assign_nearest(df: DataFrame, vec: str, centers: list[list[float]],
 def kmeans_fit(vectors: DataFrame, k: int, n_init: int = 2, features: str = "features",
                max_iter: int = 300, tol: float = 1e-4) -> tuple[KMeansModel, float]:
     """The best of ``n_init`` seeded starts, with its inertia."""
-    best = None
-    for i in range(n_init):
+    def start(i: int) -> tuple[KMeansModel, float]:
         model = KMeans(k=k, seed=SEED + i, featuresCol=features, predictionCol="cluster_id",
                        maxIter=max_iter, tol=tol).fit(vectors)
-        cost = model.summary.trainingCost
-        if best is None or cost < best[1]:
-            best = (model, cost)
-    return best
+        return model, model.summary.trainingCost
+
+    with ThreadPoolExecutor(PARALLEL_STARTS) as pool:
+        return min(pool.map(start, range(n_init)), key=lambda found: found[1])
 
 
 def kmeans_elbow(vectors: DataFrame, ks: list[int], n_init: int = 10,

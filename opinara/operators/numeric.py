@@ -139,9 +139,11 @@ class NumericModel:
         if not here:
             return df
         if self.kind == "discretize":
-            bins = {c: _bin(F.col(c), p, self.options["bins"]) for c, p in here.items()}
-            kept = [c for c in df.columns if c not in bins]
-            return df.select(*kept, *[b.alias(f"{c}_disc") for c, b in bins.items()])
+            bins, kept = self.options["bins"], [c for c in df.columns if c not in here]
+            # The guess is a column of its own, as settling it needs it several times.
+            guessed = df.withColumns({f"{c}_disc": _guess_bin(F.col(c), p, bins) for c, p in here.items()})
+            return guessed.select(*kept, *[_settle_bin(F.col(c), F.col(f"{c}_disc"), p, bins).alias(f"{c}_disc")
+                                           for c, p in here.items()])
         rule = _RULES[self.kind]
         return df.withColumns({c: rule(_value(F.col(c)), p) for c, p in here.items()})
 
@@ -172,17 +174,23 @@ _RULES = {
 }
 
 
-def _bin(column: Column, p: dict, bins: int) -> Column:
+def _guess_bin(column: Column, p: dict, bins: int) -> Column:
     x, low, width = _value(column), float(p["min"]), float(p["max"] - p["min"])
     if not width:
-        return F.when(x.isNotNull(), F.lit(0.0))
-    # Guess by division, then settle against the exact edge, as rounding may differ.
-    step = width / bins
-    guess = F.least(F.greatest(F.floor((x - F.lit(low)) / F.lit(step)), F.lit(0)), F.lit(bins - 1))
-    edge = lambda i: i * F.lit(step) + F.lit(low)
+        return F.when(x.isNotNull(), F.lit(0)).cast("bigint")
+    at = F.floor((x - F.lit(low)) / F.lit(width / bins))
+    return F.when(x.isNotNull(), F.least(F.greatest(at, F.lit(0)), F.lit(bins - 1)))
+
+
+def _settle_bin(column: Column, guess: Column, p: dict, bins: int) -> Column:
+    """Check the guessed bin against its exact edges, as a division may round across one."""
+    x, low, width = _value(column), float(p["min"]), float(p["max"] - p["min"])
+    if not width:
+        return guess.cast("double")
+    edge = lambda i: i * F.lit(width / bins) + F.lit(low)
     settled = (F.when((guess < bins - 1) & (x >= edge(guess + 1)), guess + 1)
                .when((guess > 0) & (x < edge(guess)), guess - 1).otherwise(guess))
-    return F.when(x.isNotNull(), settled.cast("double"))
+    return settled.cast("double")
 
 
 IMPUTE_STATS = {"mean": "mean", "median": "median", "most_frequent": "mode"}

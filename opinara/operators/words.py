@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinara.functions import cleaning, lexicons
-from opinara.functions.stemming import stem
+from opinara.functions.stemming import add_stem
 from opinara.operators.lookup import lookup_join
 from opinara.session import materialize
 
@@ -79,7 +79,7 @@ def lemma_map(words: DataFrame, lexicon: DataFrame | None = None,
 
 def stem_map(words: DataFrame, language: str) -> DataFrame:
     """``(word, stem, n)``."""
-    return words.select("word", stem(F.col("word"), language).alias("stem"), "n")
+    return add_stem(words.select("word", "n"), "word", language)
 
 
 def regroup(df: DataFrame, key: str, tokens: DataFrame, word: str) -> DataFrame:

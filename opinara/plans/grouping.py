@@ -11,6 +11,7 @@ from opinara.operators import clusters, topics
 from opinara.operators import vectorize as V
 from opinara.plans.config import JobConfig
 from opinara.plans.preprocess import fit_preprocessor
+from opinara.session import materialize
 
 
 @dataclass
@@ -47,7 +48,7 @@ def discover(config: JobConfig, data: DataFrame, key: str, target: str, choose_k
             raise ValueError("LDA needs a converted text column")
         o = config.lda()
         numbered = V.number_terms(tool.vectors.vocab)
-        texts = V.presence_texts(tool.vectors.fitted(), key)
+        texts = materialize(V.presence_texts(tool.vectors.fitted(), key), "texts")
         curve = topics.coherence_curve(prepared, numbered, texts, o["ks"], o["metric"], o["passes"], o["alpha"], o["eta"])
         model = topics.lda_fit(prepared, pick(curve), o["passes"], o["alpha"], o["eta"])
         mixed = topics.topic_mix(model, prepared).drop("features", "topic_mix")

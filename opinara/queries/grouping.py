@@ -119,7 +119,7 @@ def lda_topic_words(t):
 @query("lda_coherence_curve")
 def lda_coherence_curve(t):
     fitted, vectors = document_vectors(t)
-    texts = V.presence_texts(fitted.fitted(), "doc_id")
+    texts = materialize(V.presence_texts(fitted.fitted(), "doc_id"), "texts")
     return TP.coherence_curve(vectors, V.number_terms(fitted.vocab), texts, [2, 3], "c_v", passes=3)
 
 
@@ -156,7 +156,7 @@ def term_cooccurrence(t):
 
 def given_topics(t):
     fitted, assigned = weighed(t)
-    weights = fitted.fitted()
+    weights = materialize(fitted.fitted(), "weights")
     ranked = C.cluster_keywords(C.cluster_centroids(assigned, weights, "doc_id"), CO.TOP_WORDS)
     topics = materialize(ranked.select(F.col("cluster_id").alias("topic"), "rank", F.col("palabra").alias("term")), "topics")
     return materialize(V.presence_texts(weights, "doc_id"), "texts"), topics

@@ -9,6 +9,7 @@ from opinara.operators import prompts as P
 from opinara.queries.registry import query
 from opinara.queries.samples import _PICK
 from opinara.queries.sqltext import quote, words
+from opinara.session import materialize
 
 
 def sized_answers():
@@ -65,7 +66,7 @@ f AS (SELECT strategy, round(avg(CASE WHEN 2 * tp + er > 0 THEN 2 * tp / (2 * tp
 SELECT doc_id, f1 AS "F-score", 'stub' AS "modelo/tamaño", strategy AS "tipo de prompt", length(template) AS n_template, md5(entrada) AS entrada,
  lower(pred) AS "salida (prediccion)", real AS "salida (real)" FROM an JOIN f USING (strategy)""")
 def prompt_log(t):
-    answered = P.read_replies(P.infer(prompts(t), sized_answers))
+    answered = materialize(P.read_replies(P.infer(prompts(t), sized_answers)), "replies")
     log = P.prompt_log(answered, "stub", "doc_id")
     return (log.withColumn("n_template", F.length("prompt empleado").cast("bigint")).withColumn("entrada", F.md5("entrada"))
             .drop("prompt empleado"))

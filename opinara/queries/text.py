@@ -124,6 +124,14 @@ def lemmatize_nouns(t):
     return done.select("doc_id", cleaning.join_tokens(F.col("tokens")).alias("clean"))
 
 
+@query("stem_tokens")
+def stem_tokens(t):
+    spanish = t.texts.filter(F.col("lang") == "es")
+    rows = W.token_rows(spanish, "doc_id", cleaning.clean_tokens(F.col("text"), "spanish"))
+    return W.stem_map(W.word_counts(rows), "spanish").groupBy("stem").agg(
+        F.sum("n").alias("n"), F.count("*").alias("words"))
+
+
 @query("bow_counts", f"WITH {token_ctes()}, {count_ctes(min_df=1)} SELECT doc_id, term, tf FROM tf")
 def bow_counts(t):
     return V.term_counts(t.texts, "doc_id", tokens())

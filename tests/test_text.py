@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from opinara.functions import cleaning, replies
+from opinara.functions.stemming import add_stem
 from opinara.operators import lookup, vectorize, words
 
 
@@ -94,3 +95,29 @@ def test_reply_label(spark, raw, want):
 
 def test_strip_quotes(spark):
     assert one(spark, "\"'quoted'\"", replies.strip_quotes) == "quoted"
+
+
+# Sample words of the public Spanish stemmer vocabulary.
+STEMS = {
+    "che": "che", "checa": "chec", "chequeo": "cheque", "chicas": "chic", "chicharrones": "chicharron",
+    "chico": "chic", "chihuahua": "chihuahu", "torácico": "torac", "toreado": "tor", "toreándolo": "tor",
+    "torneo": "torne", "torres": "torr", "torturado": "tortur", "corriendo": "corr", "rápidamente": "rapid",
+    "nacionalidad": "nacional", "construyendo": "constru", "paguen": "pag", "canciones": "cancion",
+    "biologías": "biolog", "competencia": "competent",
+}
+
+
+def test_spanish_stems(spark):
+    df = spark.createDataFrame([(w,) for w in STEMS], "word string")
+    assert {r["word"]: r["stem"] for r in add_stem(df, "word", "spanish").collect()} == STEMS
+
+
+def test_no_stemmer(spark):
+    with pytest.raises(ValueError):
+        add_stem(spark.createDataFrame([("a",)], "word string"), "word", "klingon")
+
+
+def test_spanish_corpus(spark):
+    df = spark.createDataFrame([(1, "Las canciones: rápidamente."), (2, " ")], "k int, t string")
+    got = {r["k"]: r["tokens"] for r in words.clean_corpus(df, "k", "t", "spanish").collect()}
+    assert got == {1: ["cancion", "rapid"], 2: ["desconocido"]}
