@@ -43,10 +43,13 @@ def sink_roundtrip(t):
 
 
 @query("split_by_class", f"""
-SELECT {_BUCKET} AS class_part, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM ({_RATED}) WHERE o_orderkey % 97 <> 0 GROUP BY 1""")
+SELECT {_BUCKET} AS class_part, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM ({_RATED.replace(" FROM", ", o_orderstatus FROM")}) WHERE o_orderstatus <> 'P' GROUP BY 1""")
 def split_by_class(t):
     path = scratch_path(t.spark, "classes")
-    data = labelled(t).withColumn("score", F.when(F.col("o_orderkey") % 97 != 0, F.col("score")))
+    rating = F.substring("o_orderpriority", 1, 1).cast("int")
+    # Pending orders have no class yet and so no folder.
+    data = t.orders.select("o_orderkey", "o_totalprice", F.when(
+        F.col("o_orderstatus") != "P", LB.sentiment_bucket(rating)).alias("score"))
     S.split_by_class(data, "score", path)
     return (t.spark.read.parquet(path).groupBy("class_part")
             .agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total")))

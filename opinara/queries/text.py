@@ -126,8 +126,7 @@ def lemmatize_nouns(t):
 
 @query("stem_tokens")
 def stem_tokens(t):
-    spanish = t.texts.filter(F.col("lang") == "es")
-    rows = W.token_rows(spanish, "doc_id", cleaning.clean_tokens(F.col("text"), "spanish"))
+    rows = W.token_rows(t.texts, "doc_id", cleaning.clean_tokens(F.col("text"), "spanish"))
     return W.stem_map(W.word_counts(rows), "spanish").groupBy("stem").agg(
         F.sum("n").alias("n"), F.count("*").alias("words"))
 
