@@ -28,7 +28,8 @@ def train(t):
 
 
 def shown(df, cols=COLS, digits=6):
-    return df.select(*KEY, *[F.round(c, digits).alias(c) for c in cols])
+    # Adding zero turns a negative zero into a plain one.
+    return df.select(*KEY, *[(F.round(c, digits) + 0.0).alias(c) for c in cols])
 
 
 def _impute_sql(stat: str) -> str:
@@ -83,7 +84,7 @@ def scale_maxabs(t):
     return shown(N.fit_scale(train(t), COLS, "max").transform(source(t)))
 
 
-@query("scale_standard", _stats_sql("avg({c}) m{i}, stddev_pop({c}) s{i}", "round(({c} - m{i}) / s{i}, 6) AS {c}"))
+@query("scale_standard", _stats_sql("avg({c}) m{i}, stddev_pop({c}) s{i}", "round(({c} - m{i}) / s{i}, 6) + 0.0 AS {c}"))
 def scale_standard(t):
     return shown(N.fit_scale(train(t), COLS, "z-score").transform(source(t)))
 
@@ -93,7 +94,7 @@ WITH {_SRC}, p AS (SELECT avg(l_quantity) f0, avg(l_extendedprice) f1, avg(l_dis
 im AS (SELECT {KEY_SQL}, l_linestatus, coalesce(l_quantity, f0) q, coalesce(l_extendedprice, f1) e, coalesce(l_discount, f2) d FROM src, p),
 b AS (SELECT min(q) lo, max(q) hi, avg(e) me, stddev_pop(e) se FROM im WHERE l_linestatus = 'F')
 SELECT {KEY_SQL}, CAST(len(list_filter(range(1, 5), lambda j: q >= j * ((hi - lo) / 5) + lo)) AS DOUBLE) AS l_quantity_disc,
- round((e - me) / se, 6) AS l_extendedprice, round(d, 6) AS l_discount FROM im, b WHERE l_linestatus = 'O'""")
+ round((e - me) / se, 6) + 0.0 AS l_extendedprice, round(d, 6) AS l_discount FROM im, b WHERE l_linestatus = 'O'""")
 def apply_fitted_transforms(t):
     impute = N.fit_impute(train(t), COLS)
     ready = impute.transform(train(t))
