@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinara.llm import exact_dedup, quality_rules, url_filters
-from opinara.llm.common import read_documents
+from opinara.llm import bpe, exact_dedup, mixing, quality_rules, simhash, toxicity, url_filters
+from opinara.llm.common import fold, read_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -97,3 +98,32 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules.apply_rules(read_documents(spark, folder))
     return judged.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
                          "n_repeat_words", "base_failed", "kept")
+
+
+@query("op4_toxicity")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_documents(spark, folder)
+    model = toxicity.fit(docs, read_documents(spark, folder, "labels"), trainable=fold("id", 3) != 1)
+    scored = toxicity.score_documents(docs, model).withColumnRenamed("id", "doc_id")
+    return scored.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score",
+                         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+@query("op5_mixing")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.mix_report(read_documents(spark, folder))
+    return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "copies")
+
+
+@query("op6_byte_bpe")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    coded = bpe.encode(spark, read_documents(spark, folder), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+                       public_tokenizers.PATTERN, with_ids=False)
+    return coded.withColumnRenamed("id", "doc_id")
+
+
+@query("op8_simhash")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    groups = simhash.simhash_groups(read_documents(spark, folder))
+    return groups.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                         "component_id")
