@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinara.llm import bpe, exact_dedup, mixing, quality_rules, simhash, toxicity, url_filters
+from opinara.llm import bpe, crf_langid, exact_dedup, gru_lm, mixing, quality_rules, simhash, toxicity, url_filters
 from opinara.llm.common import fold, read_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +127,17 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     groups = simhash.simhash_groups(read_documents(spark, folder))
     return groups.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                          "component_id")
+
+
+@query("op1_crf_langid")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_documents(spark, folder)
+    model = crf_langid.fit(docs, fold("id", 4) != 2)
+    found = crf_langid.identify(docs, model).withColumnRenamed("id", "doc_id")
+    return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score",
+                        F.size("span_langs").cast("long").alias("n_spans"))
+
+
+@query("op3_gru_lm")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return gru_lm.score_documents(read_documents(spark, folder)).withColumnRenamed("id", "doc_id")

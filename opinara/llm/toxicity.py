@@ -10,13 +10,14 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator, Sequence
-from itertools import chain, islice
+from itertools import islice
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from opinara.llm.batches import Codes
 from opinara.llm.common import seeded, text_or_empty
 from opinara.llm.gru import Adam, sigmoid, step, step_back
 
@@ -46,18 +47,6 @@ def window_starts(n: int) -> np.ndarray:
     return starts if starts[-1] + WINDOW >= n else np.append(starts, n - WINDOW)
 
 
-class Codes(dict):
-    """Numbers words in the order of their first look-up."""
-
-    def __missing__(self, word: str) -> int:
-        self[word] = code = len(self)
-        return code
-
-    def of(self, texts: Sequence[Sequence[str]]) -> np.ndarray:
-        return np.fromiter(chain.from_iterable(map(self.__getitem__, t) for t in texts), np.int32,
-                           sum(map(len, texts)))
-
-
 class ToxicityModel:
     """Weights, the log-odds of words seen in training, and the common words with an embedding of their own.
 

