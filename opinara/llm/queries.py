@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinara.llm import bpe, crf_langid, exact_dedup, gru_lm, mixing, quality_rules, simhash, toxicity, url_filters
+from opinara.llm import bpe, crf_langid, exact_dedup, gru_lm, line_dedup, mixing, quality_rules, simhash, toxicity, url_filters
 from opinara.llm.common import fold, read_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,3 +141,9 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_gru_lm")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return gru_lm.score_documents(read_documents(spark, folder)).withColumnRenamed("id", "doc_id")
+
+
+@query("op10_line_dedup")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    found = line_dedup.fuzzy_lines(read_documents(spark, folder))
+    return found.select(F.col("id").alias("doc_id"), "n_lines", "n_kept", "dropped")

@@ -27,7 +27,7 @@ HIDDEN, WORD_WIDTH, CHAR_WIDTH, CHAR_BUCKETS, ATTENTION = 8, 4, 4, 1 << 11, 8
 #: Documents a word needs for an embedding of its own, and the weight of the base rate in its toxic share.
 OWN_DOCUMENTS, SMOOTHING = 20, 5
 #: The bound of the training sample: documents by label, and characters in one of them.
-SAMPLE_ROWS, SAMPLE_CHARS = {0: 3000, 1: 1000}, 200_000
+SAMPLE_ROWS, SAMPLE_CHARS = {0: 1500, 1: 600}, 50_000
 #: Weight updates in all, and between two searches for the highest windows.
 UPDATES, SEARCH_EVERY, BATCH, RATE, SEED = 240, 60, 64, 0.02, 42
 THRESHOLD = 0.7
