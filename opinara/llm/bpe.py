@@ -17,10 +17,11 @@ import pyarrow as pa
 import regex
 import tiktoken
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from opinara.llm.chunks import chunk_texts, chunk_tokens, unpack, with_values
+from opinara.llm.chunks import chunk_blocks, chunk_texts, indexes_of, pack, unpack, unpack_tokens, with_values
 
+#: Characters in a chunk: the larger, the fewer distinct tokens travel.
+CHUNK_CHARS = 32_000_000
 #: One pre-token is never split again.
 WHOLE = r"[\s\S]+"
 
@@ -46,29 +47,45 @@ def unicode_spaces(pattern: str) -> str:
     return "".join(out)
 
 
-def encode_distinct(tokens: DataFrame, ranks) -> DataFrame:
-    """``chunk, at, value`` (ids as little-endian unsigned 32-bit) from ``chunk, at, token``.
+def encode_distinct(blocks: DataFrame, ranks) -> DataFrame:
+    """``chunk, at, value`` from ``chunk, at, block``: per block how many ids its tokens have, and the ids, packed.
 
-    Rows are hashed and sorted by token, so equal tokens meet and are encoded once.
+    Equal tokens of all chunks meet in one bucket, where each is encoded once; a
+    task holds the distinct tokens of one bucket at a time.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tiktoken.Encoding("pre-token", pat_str=WHOLE, mergeable_ranks=ranks.value, special_tokens={})
-        last, ids = None, b""
+        bucket, known = -1, {}
         for batch in batches:
             values = []
-            for token in batch.column(2).to_pylist():
-                if token != last:
-                    last = token
-                    ids = np.array(encoder.encode_ordinary(token.decode()), "<u4").tobytes()
-                values.append(ids)
+            for at, block in zip(batch.column(1).to_pylist(), batch.column(2)):
+                if at != bucket:
+                    bucket, known = at, {}
+                tokens = unpack_tokens(block.as_py())
+                new = [t for t in tokens if t not in known]
+                known.update(zip(new, (np.array(encoder.encode_ordinary(t.decode()), "<u4") for t in new)))
+                ids = [known[t] for t in tokens]
+                counts = pack(np.fromiter(map(len, ids), np.uint32, len(ids)))
+                values.append(len(counts).to_bytes(4, "little") + counts
+                              + pack(np.concatenate(ids) if ids else np.zeros(0, "<u4")))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(values, pa.binary())],
                                              ["chunk", "at", "value"])
 
-    return tokens.repartition("token").sortWithinPartitions("token").mapInArrow(run, "chunk long, at int, value binary")
+    return blocks.repartition("at").sortWithinPartitions("at").mapInArrow(run, "chunk long, at int, value binary")
+
+
+def _codes(values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all distinct tokens of a chunk, one after the other, and how many each token has."""
+    counts, ids = [np.zeros(0, "<u4")], [np.zeros(0, "<u4")]
+    for value in values:
+        at = 4 + int.from_bytes(value[:4], "little")
+        counts.append(unpack(value[4:at]))
+        ids.append(unpack(value[at:]))
+    return np.concatenate(ids), np.concatenate(counts).astype(np.int64)
 
 
 def encode(spark: SparkSession, docs: DataFrame, ranks_path: str, pattern: str, id_column: str = "doc_id",
-           text_column: str = "text", with_ids: bool = True) -> DataFrame:
+           text_column: str = "text", with_ids: bool = True, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
     """``id, n_tokens, ids_sha256, decoded_sha256`` and, if asked for, ``token_ids`` per row.
 
     A null text is an empty one and has no tokens. Repeated rows, null ids and
@@ -77,8 +94,8 @@ def encode(spark: SparkSession, docs: DataFrame, ranks_path: str, pattern: str,
     """
     ranks = spark.sparkContext.broadcast(read_ranks(ranks_path))
     compiled = unicode_spaces(pattern)
-    chunks = chunk_texts(docs, id_column, text_column, lambda: regex.compile(compiled).findall)
-    coded = with_values(chunks, encode_distinct(chunk_tokens(chunks), ranks))
+    chunks = chunk_texts(docs, id_column, text_column, lambda: regex.compile(compiled).findall, chunk_chars)
+    coded = with_values(chunks, encode_distinct(chunk_blocks(chunks), ranks))
     id_type = chunks.schema["ids"].dataType.elementType
     out = f"id {id_type.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -89,10 +106,8 @@ def encode(spark: SparkSession, docs: DataFrame, ranks_path: str, pattern: str,
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {name: batch.column(name)[i] for name in batch.schema.names}
-                indexes = unpack(row["indexes"].as_py())
-                coded = [] if row["values"].values is None else row["values"].values.to_pylist()
-                flat = np.frombuffer(b"".join(coded), "<u4")
-                lengths = np.fromiter((len(c) >> 2 for c in coded), np.int64, len(coded))
+                indexes = indexes_of(row["indexes"].as_py(), row["buckets"].as_py())
+                flat, lengths = _codes(row["values"].as_py())
                 begins = np.cumsum(lengths) - lengths
                 columns, at = ([], [], [], []), 0
                 for size in row["sizes"].as_py():
@@ -112,5 +127,5 @@ def encode(spark: SparkSession, docs: DataFrame, ranks_path: str, pattern: str,
                     names.append("token_ids")
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
-    return (coded.select("ids", "sizes", "indexes", F.coalesce("values", F.array().cast("array<binary>")).alias("values"))
+    return (coded.select("ids", "sizes", "indexes", "buckets", "values")
             .mapInArrow(run, out + (", token_ids array<long>" if with_ids else "")))

@@ -19,7 +19,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from opinara.llm.batches import Lanes, groups
-from opinara.llm.chunks import chunk_texts, unpack, with_values
+from opinara.llm.chunks import chunk_texts, indexes_of, unpack_tokens, with_values
 from opinara.llm.common import fold
 from opinara.llm.gru import Adam, step, step_back
 from opinara.session import materialize
@@ -203,7 +203,8 @@ def _row(batch: pa.RecordBatch, i: int):
     ids = get("ids").values
     train = ids.field("train").to_numpy(zero_copy_only=False).astype(bool)
     sizes = get("sizes").values.to_numpy(zero_copy_only=False).astype(np.int64)
-    return ids.field("id"), train, sizes, unpack(get("indexes").as_py()), get("tokens").values.to_pylist()
+    tokens = [t for block in get("blocks").as_py() for t in unpack_tokens(block)]
+    return ids.field("id"), train, sizes, indexes_of(get("indexes").as_py(), get("buckets").as_py()), tokens
 
 
 def training_counts(chunks: DataFrame) -> DataFrame:

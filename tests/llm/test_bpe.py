@@ -13,15 +13,14 @@ DOCS = "doc_id long, text string, id string, chunk string"
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
-def test_encoding(spark, monkeypatch):
-    monkeypatch.setattr(chunks, "CHUNK_CHARS", 3000)
+def test_encoding(spark):
     random.seed(4)
     alphabet = "ab Zé'ß \t\n\r\x0b\x0c\x1c\x1f\x85  　漢字١²½🙂é.,!don't's﻿​<|endoftext|>"
     texts = [None, "", " ", "   \n\n  x", "I'll don't 'S", "<|endoftext|>", "a" * 20_000, " " * 5000 + "x", "!?" * 4000]
     texts += ["".join(random.choice(alphabet) for _ in range(random.randint(1, 400))) for _ in range(150)]
     rows = list(enumerate(texts)) + [(None, "no id"), (3, texts[3])]
     df = spark.createDataFrame([(i, t, "x", "y") for i, t in rows], DOCS).repartition(3)
-    got = bpe.encode(spark, df, PATH, public_tokenizers.PATTERN).collect()
+    got = bpe.encode(spark, df, PATH, public_tokenizers.PATTERN, chunk_chars=3000).collect()
     encoder = tiktoken.Encoding("whole", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(PATH),
                                 special_tokens={})
     assert len(got) == len(rows)
