@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from opinara.functions.lexicons import RATING_LABELS
+from opinara.functions.replies import strip_space
 
 
 def sentiment_bucket(rating: Column) -> Column:
@@ -20,7 +21,7 @@ def sentiment_bucket(rating: Column) -> Column:
 
 def sentiment_normalize(value: Column) -> Column:
     """Trimmed text ``'1'``..``'5'`` to its label, any other text to upper case."""
-    text = F.trim(value.cast("string"))
+    text = strip_space(value.cast("string"))
     out = F.upper(text)
     for star, label in RATING_LABELS.items():
         out = F.when(text == F.lit(str(star)), F.lit(label)).otherwise(out)

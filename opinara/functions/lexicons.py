@@ -15,12 +15,13 @@ SENTIMENTS = [NEGATIVE, NEUTRAL, POSITIVE]
 # Star rating -> label.
 RATING_LABELS = {1: NEGATIVE, 2: NEGATIVE, 3: NEUTRAL, 4: POSITIVE, 5: POSITIVE}
 
-# "<stem>n't" becomes "<stem> not"; the two irregular forms are spelled out.
-CONTRACTION_STEMS = [
-    "is", "are", "was", "were", "have", "has", "had", "would", "do", "does",
-    "did", "could", "should", "might", "must",
-]
-CONTRACTION_IRREGULAR = {"won't": "will not", "can't": "can not"}
+# Fixed values, in the order of their application.
+CONTRACTIONS = {
+    "isn't": "is not", "aren't": "are not", "wasn't": "was not", "weren't": "were not", "haven't": "have not",
+    "hasn't": "has not", "hadn't": "had not", "wouldn't": "would not", "don't": "do not", "doesn't": "does not",
+    "didn't": "did not", "couldn't": "could not", "shouldn't": "should not", "mightn't": "might not",
+    "mustn't": "must not", "won't": "will not", "can't": "can not",
+}
 
 # English stop words (the public list of 179 words).
 ENGLISH_STOPWORDS = """

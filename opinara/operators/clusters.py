@@ -44,7 +44,7 @@ def inertia(df: DataFrame, vec: str, cluster: str) -> DataFrame:
     """Sum of squared distances to the own cluster's mean, from per-dimension sums."""
     cells = df.select(cluster, F.posexplode(F.col(vec).cast("array<double>")).alias("dim", "x"))
     spread = (cells.groupBy(cluster, "dim")
-              .agg((F.sum(F.col("x") * F.col("x")) - F.sum("x") * F.sum("x") / F.count("*")).alias("ss")))
+              .agg((F.var_pop("x") * F.count("x")).alias("ss")))
     return spread.agg(F.sum("ss").alias("inercia"))
 
 
@@ -61,7 +61,7 @@ def assign_nearest(df: DataFrame, vec: str, centers: list[list[float]],
             .drop("__d"))
 
 
-def kmeans_fit(vectors: DataFrame, k: int, n_init: int = 2, features: str = "features",
+def kmeans_fit(vectors: DataFrame, k: int, n_init: int = 10, features: str = "features",
                max_iter: int = 300, tol: float = 1e-4) -> tuple[KMeansModel, float]:
     """The best of ``n_init`` seeded starts, with its inertia."""
     def start(i: int) -> tuple[KMeansModel, float]:

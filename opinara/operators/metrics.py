@@ -21,8 +21,8 @@ def confusion_counts(df: DataFrame, real: str, pred: str, by: list[str] | None =
 
 
 def union_labels(counts: DataFrame) -> list[str]:
-    """Every label seen as real or predicted, sorted."""
-    found = counts.select(F.explode(F.array("real", "pred")).alias("label")).distinct()
+    """Every label seen as real or predicted, sorted; a null is no label."""
+    found = counts.select(F.explode(F.array("real", "pred")).alias("label")).where("label is not null").distinct()
     return sorted(r["label"] for r in found.collect())
 
 
@@ -42,7 +42,7 @@ def confusion_matrix(counts: DataFrame, labels: list[str] | None = None) -> Data
 
 def label_scores(counts: DataFrame, by: list[str] | None = None) -> DataFrame:
     """``(by..., label, tp, fp, fn)`` over the labels of both sides."""
-    same = F.col("real") == F.col("pred")
+    same = F.col("real").eqNullSafe(F.col("pred"))
     zero = F.lit(0).cast("bigint")
     n = F.col("n")
     sides = F.array(
@@ -51,6 +51,7 @@ def label_scores(counts: DataFrame, by: list[str] | None = None) -> DataFrame:
         F.struct(F.col("pred").alias("label"), zero.alias("tp"),
                  F.when(same, zero).otherwise(n).alias("fp"), zero.alias("fn")))
     return (counts.select(*(by or []), F.explode(sides).alias("s")).select(*(by or []), "s.*")
+            .where("label is not null")
             .groupBy(*(by or []), "label")
             .agg(F.sum("tp").alias("tp"), F.sum("fp").alias("fp"), F.sum("fn").alias("fn")))
 

@@ -84,9 +84,9 @@ def kmeans_elbow(t):
 # --- topics: given mixes are exact, learnt ones are not ---------------------------------------------
 
 
-@query("dominant_topic", "SELECT vec_id, CAST(list_position(embedding[1:8], list_max(embedding[1:8])) - 1 AS INTEGER) AS cluster_id FROM embeddings")
+@query("dominant_topic", "SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS INTEGER) AS cluster_id FROM embeddings")
 def dominant_topic(t):
-    return t.embeddings.select("vec_id", TP.dominant_topic(F.slice("embedding", 1, 8)).alias("cluster_id"))
+    return t.embeddings.select("vec_id", TP.dominant_topic(F.col("embedding")).alias("cluster_id"))
 
 
 def document_vectors(t):

@@ -244,13 +244,13 @@ def best_trial(t):
     return rounded(M.best_trial(trials(t)), ["f1"]).select("trial_id", "f1")
 
 
-_REPLY = "CASE doc_id % 3 WHEN 0 THEN '<THINK>a' || chr(10) || 'b</think> positivo ' || chr(10) WHEN 1 THEN '<think>x</think>neutro<think>y</think>' ELSE substr(text, 1, 40) END"
+_REPLY = "CASE doc_id % 3 WHEN 0 THEN '<THINK>a' || chr(10) || 'b</think> positivo ' || chr(10) WHEN 1 THEN '<think>x</think>neutro<think>y</think>' ELSE '<think>why</think> ' || text END"
 
 
 def reply_text():
     pick = F.col("doc_id") % 3
     return (F.when(pick == 0, F.lit("<THINK>a\nb</think> positivo \n"))
-            .when(pick == 1, F.lit("<think>x</think>neutro<think>y</think>")).otherwise(F.substring("text", 1, 40)))
+            .when(pick == 1, F.lit("<think>x</think>neutro<think>y</think>")).otherwise(F.concat(F.lit("<think>why</think> "), "text")))
 
 
 _WS = r"[\t-\r\x1c-\x20\x{85}\p{Z}]"

@@ -28,8 +28,7 @@ def prepared(text: str, emoji: bool = False) -> str:
 
 
 def contracted(s: str) -> str:
-    s = f"regexp_replace({s}, {quote('(' + '|'.join(L.CONTRACTION_STEMS) + ')n' + chr(39) + 't')}, '\\1 not', 'g')"
-    for word, full in L.CONTRACTION_IRREGULAR.items():
+    for word, full in L.CONTRACTIONS.items():
         s = f"replace({s}, {quote(word)}, {quote(full)})"
     return s
 
