@@ -8,6 +8,7 @@ clean one by its highest-scoring and some random ones.
 
 from __future__ import annotations
 
+import pickle
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from itertools import islice
@@ -291,8 +292,8 @@ def _subset(inputs, used: np.ndarray):
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, trainable: Column, id_column: str = "doc_id",
-                    text_column: str = "text", label_column: str = "toxic") -> tuple[list[str], list[int]]:
-    """About ``SAMPLE_ROWS`` texts per label by a seeded hash of the id, of at most ``SAMPLE_CHARS`` characters."""
+                    text_column: str = "text", label_column: str = "toxic") -> DataFrame:
+    """``id, text, label`` of about ``SAMPLE_ROWS`` texts per label by a seeded hash of the id, of at most ``SAMPLE_CHARS`` characters."""
     known = labels.select(F.col(id_column).alias("id"), F.col(label_column).cast("int").alias("label"))
     known = known.where(trainable & F.col("id").isNotNull() & F.col("label").isin(list(SAMPLE_ROWS)))
     known = known.groupBy("id").agg(F.max("label").alias("label"))
@@ -303,10 +304,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, trainable: Column, id_co
     # Drawn by a threshold, so the sample has its expected size give or take a few per cent: small enough to broadcast.
     drawn = known.where(seeded(SEED, F.col("id")).cast("double") / 2.0 ** 63 < limit)
     texts = docs.select(F.col(id_column).alias("id"), text_or_empty(text_column).alias("text"))
-    rows = (texts.join(F.broadcast(drawn), "id").where(F.length("text") <= SAMPLE_CHARS)
-            .select("id", "text", "label").collect())
-    rows.sort(key=lambda r: (r["id"], r["text"]))
-    return [r["text"] for r in rows], [r["label"] for r in rows]
+    return texts.join(F.broadcast(drawn), "id").where(F.length("text") <= SAMPLE_CHARS).select("id", "text", "label")
 
 
 def score_column(model: ToxicityModel, text_column: str, spark) -> Column:
@@ -324,9 +322,21 @@ def score_column(model: ToxicityModel, text_column: str, spark) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text",
         label_column: str = "toxic", trainable: Column | None = None) -> ToxicityModel:
     """A model from labelled rows whose ``id`` satisfies ``trainable`` (all by default)."""
-    texts, marks = labelled_sample(docs, labels, F.lit(True) if trainable is None else trainable,
-                                   id_column, text_column, label_column)
-    return train(texts, marks)
+    sample = labelled_sample(docs, labels, F.lit(True) if trainable is None else trainable,
+                             id_column, text_column, label_column)
+
+    def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = pd.concat([pd.DataFrame({"id": [], "text": [], "label": []}), *batches]).sort_values(["id", "text"])
+        model = train(rows["text"].tolist(), rows["label"].tolist())
+        yield pd.DataFrame({"model": [pickle.dumps(model.__getstate__())]})
+
+    # The bounded sample is learned from in one task; only the network reaches the driver.
+    model = ToxicityModel.__new__(ToxicityModel)
+    row = sample.repartition(1).mapInPandas(learn, "model binary").first()
+    if row is None:  # nothing to learn from
+        return train([], [])
+    model.__setstate__(pickle.loads(row["model"]))
+    return model
 
 
 def score_documents(docs: DataFrame, model: ToxicityModel, id_column: str = "doc_id",
