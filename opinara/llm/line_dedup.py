@@ -1,7 +1,7 @@
 """Fuzzy line deduplication by MinHash. DataFrame functions only.
 
 Equal lines are joined first. Every distinct line has a set of character
-shingles: nine characters from each word start. Minima of seeded hashes are
+shingles: nine characters from each word start, as 64-bit hashes. Minima of seeded hashes are
 banded; inside a band's bucket a few leaders at a time are compared with all
 lines that have not led, by exact Jaccard similarity, until what is left is known
 to be connected, so a bucket keeps every connection without all its pairs.
@@ -16,16 +16,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinara.llm.common import SPACE_CLASS, components, look_up, text_or_empty
+from opinara.llm.common import SPACE_CLASS, SPACES, components, look_up, text_or_empty
 from opinara.session import materialize
 
-SIMILARITY = 0.8
+#: Per cent, so that the limit is compared in whole numbers.
+SIMILARITY = 80
 #: At 0.8 a pair shares a band with probability 1 - (1 - 0.8 ** 3) ** 6 = 0.986.
 BANDS, ROWS = 6, 3
-#: Leaders of a bucket in one round.
-LEADERS = 16
-#: Up to nine characters from every word start.
-SHINGLES = SPACE_CLASS.replace("[", "(?<![^") + r")(?=([^\x20\x09-\x0D][\s\S]{0,8}))"
+#: Leaders of a bucket in the first round; every further one has twice as many, up to the second number.
+LEADERS, MOST_LEADERS = 16, 1024
+#: Characters of a shingle, and the words it can reach into.
+SHINGLE, REACH = 9, 5
 
 
 def lines_of(text: Column) -> Column:
@@ -37,16 +38,37 @@ def has_word(line: Column) -> Column:
 
 
 def shingles(line: Column) -> Column:
-    return F.array_distinct(F.regexp_extract_all(line, F.lit(SHINGLES), F.lit(1)))
+    """The distinct 64-bit hashes of nine characters from every word start, words joined by one space.
+
+    Split words keep this linear in the line; a regular expression that returns
+    all overlapping matches copies the line for each of them.
+    """
+    def cut(words: Column) -> Column:
+        return F.transform(words, lambda w, i: F.xxhash64(F.substring(
+            F.concat_ws(" ", w, *[F.get(words, i + k) for k in range(1, REACH)]), 1, SHINGLE)))
+
+    # Bound as a variable, the words are split once.
+    words = F.split(F.btrim(line, F.lit(SPACES)), SPACE_CLASS + "+")
+    return F.array_distinct(F.flatten(F.transform(F.array(words), cut)))
 
 
-def band_keys(hashes: Column) -> Column:
-    """One number per band from the minima of its seeded hashes."""
-    def least_by(seed: int) -> Column:
-        return F.array_min(F.transform(hashes, lambda h: F.xxhash64(h, F.lit(seed))))
+def alike(x: Column, y: Column) -> Column:
+    """Whether two sets reach the Jaccard similarity."""
+    return F.exists(F.array(F.struct(x.alias("x"), y.alias("y"))), lambda p: (
+        F.size(F.array_intersect(p["x"], p["y"])) * (100 + SIMILARITY) >= (F.size(p["x"]) + F.size(p["y"])) * SIMILARITY))
 
-    least = [least_by(i) for i in range(BANDS * ROWS)]
-    return F.array(*[F.xxhash64(F.lit(b), *least[b * ROWS:(b + 1) * ROWS]) for b in range(BANDS)])
+
+def band_keys(lines: DataFrame) -> DataFrame:
+    """``line_id, key``: one number per band from the minima of its seeded hashes.
+
+    A line's shingles are exploded and their minima grouped, which stays in
+    compiled code and combines before the shuffle.
+    """
+    hashed = lines.select("line_id", F.explode(shingles(F.col("line"))).alias("h"))
+    least = hashed.groupBy("line_id").agg(
+        *[F.min(F.xxhash64("h", F.lit(i))).alias(f"m{i}") for i in range(BANDS * ROWS)])
+    keys = [F.xxhash64(F.lit(b), *[f"m{i}" for i in range(b * ROWS, (b + 1) * ROWS)]) for b in range(BANDS)]
+    return least.select("line_id", F.explode(F.array(*keys)).alias("key"))
 
 
 def similar(pairs: DataFrame, lines: DataFrame) -> DataFrame:
@@ -56,22 +78,21 @@ def similar(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     leaders = counted.join(texts.withColumnRenamed("line_id", "a"), "a").select("a", "n", F.col("line").alias("line_a"))
     both = look_up(pairs, leaders, ["a"], "n", pairs.count()).join(
         texts.select(F.col("line_id").alias("b"), F.col("line").alias("line_b")), "b")
-    sets = both.select("a", "b", shingles(F.col("line_a")).alias("x"), shingles(F.col("line_b")).alias("y"))
-    common = F.size(F.array_intersect("x", "y"))
-    return sets.where(common >= SIMILARITY * (F.size("x") + F.size("y") - common)).select("a", "b")
+    return both.where(alike(shingles(F.col("line_a")), shingles(F.col("line_b")))).select("a", "b")
 
 
 def line_links(lines: DataFrame) -> DataFrame:
     """Links ``a, b`` between similar lines of ``line_id, line``."""
-    hashed = lines.select("line_id", F.transform(shingles(F.col("line")), lambda s: F.xxhash64(s)).alias("h"))
-    keyed = materialize(hashed.select("line_id", F.explode(band_keys(F.col("h"))).alias("key")), "line-bands")
+    keyed = materialize(band_keys(lines), "line-bands")
     sizes = keyed.groupBy("key").agg(F.count("line_id").alias("n")).where("n > 1")
     # ``label``: the leader through which a line is already connected, null if through none.
     state = materialize(look_up(keyed, sizes, ["key"], "n", keyed.count()).where("n is not null")
                         .select("key", "line_id", F.lit(None).cast("long").alias("label")), "line-state")
     found: list[DataFrame] = []
     while total := state.count():
-        best = (state.groupBy("key", F.pmod(F.xxhash64("line_id"), F.lit(LEADERS)).alias("place"))
+        # More leaders a round instead of more rounds: at most twice the comparisons that are needed anyway.
+        places = min(LEADERS << len(found), MOST_LEADERS)
+        best = (state.groupBy("key", F.pmod(F.xxhash64("line_id", F.lit(len(found))), F.lit(places)).alias("place"))
                 .agg(F.min(F.struct(F.col("label").isNull().alias("x"), "line_id", "label")).alias("l"),
                      F.count("line_id").alias("n")))
         leaders = best.groupBy("key").agg(
