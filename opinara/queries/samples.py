@@ -88,9 +88,11 @@ nn AS (SELECT a.vec_id, b.vec_id neighbor, row_number() OVER (PARTITION BY a.vec
        FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id),
 made AS (SELECT p.vec_id source_key, nn.neighbor, d2.label, p.e, o.e oe, u FROM d2 JOIN pos p ON d2.label = p.label AND d2.pos = p.pos
          JOIN nn ON nn.vec_id = p.vec_id AND nn.nth = d2.nth JOIN v o ON o.vec_id = nn.neighbor)
-SELECT source_key, neighbor, label, true AS synthetic, round(e[1] + u * (oe[1] - e[1]), 6) AS x0, round(e[64] + u * (oe[64] - e[64]), 6) AS x63 FROM made
-UNION ALL SELECT vec_id, NULL, label, false, round(e[1], 6), round(e[64], 6) FROM v""")
+SELECT source_key, neighbor, label, true AS synthetic, round(e[1] + u * (oe[1] - e[1]), 6) AS x0, round(e[64] + u * (oe[64] - e[64]), 6) AS x63,
+       round(list_sum(list_transform(range(1, len(e) + 1), lambda i: e[i] + u * (oe[i] - e[i]))), 6) AS total FROM made
+UNION ALL SELECT vec_id, NULL, label, false, round(e[1], 6), round(e[64], 6), round(list_sum(e), 6) FROM v""")
 def smote(t):
     made = OV.smote(t.embeddings, "vec_id", "embedding", "label")
     return made.select("source_key", "neighbor", "label", "synthetic",
-                       F.round(F.col("embedding")[0], 6).alias("x0"), F.round(F.col("embedding")[63], 6).alias("x63"))
+                       F.round(F.col("embedding")[0], 6).alias("x0"), F.round(F.col("embedding")[63], 6).alias("x63"),
+                       F.round(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x), 6).alias("total"))
