@@ -54,31 +54,34 @@ def shingles(line: Column) -> Column:
 
 def alike(x: Column, y: Column) -> Column:
     """Whether two sets reach the Jaccard similarity."""
-    return F.exists(F.array(F.struct(x.alias("x"), y.alias("y"))), lambda p: (
-        F.size(F.array_intersect(p["x"], p["y"])) * (100 + SIMILARITY) >= (F.size(p["x"]) + F.size(p["y"])) * SIMILARITY))
+    return F.size(F.array_intersect(x, y)) * (100 + SIMILARITY) >= (F.size(x) + F.size(y)) * SIMILARITY
+
+
+def sizes_allow(x: Column, y: Column) -> Column:
+    """Whether sets of these sizes can reach it: the smaller one holds at most all that they share."""
+    return F.least(x, y) * 100 >= F.greatest(x, y) * SIMILARITY
 
 
 def band_keys(lines: DataFrame) -> DataFrame:
-    """``line_id, key``: one number per band from the minima of its seeded hashes.
+    """``line_id, size, key``: one number per band from the minima of its seeded hashes, and the set's size.
 
     A line's shingles are exploded and their minima grouped, which stays in
     compiled code and combines before the shuffle.
     """
     hashed = lines.select("line_id", F.explode(shingles(F.col("line"))).alias("h"))
     least = hashed.groupBy("line_id").agg(
-        *[F.min(F.xxhash64("h", F.lit(i))).alias(f"m{i}") for i in range(BANDS * ROWS)])
+        F.count("h").alias("size"), *[F.min(F.xxhash64("h", F.lit(i))).alias(f"m{i}") for i in range(BANDS * ROWS)])
     keys = [F.xxhash64(F.lit(b), *[f"m{i}" for i in range(b * ROWS, (b + 1) * ROWS)]) for b in range(BANDS)]
-    return least.select("line_id", F.explode(F.array(*keys)).alias("key"))
+    return least.select("line_id", "size", F.explode(F.array(*keys)).alias("key"))
 
 
-def similar(pairs: DataFrame, lines: DataFrame) -> DataFrame:
-    """Of the pairs ``a, b`` those whose lines reach the similarity."""
-    texts = lines.select("line_id", "line")
+def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Of the pairs ``a, b`` those whose sets reach the similarity."""
     counted = pairs.groupBy("a").agg(F.count("b").alias("n"))
-    leaders = counted.join(texts.withColumnRenamed("line_id", "a"), "a").select("a", "n", F.col("line").alias("line_a"))
+    leaders = counted.join(sets.withColumnsRenamed({"line_id": "a", "set": "set_a"}), "a")
     both = look_up(pairs, leaders, ["a"], "n", pairs.count()).join(
-        texts.select(F.col("line_id").alias("b"), F.col("line").alias("line_b")), "b")
-    return both.where(alike(shingles(F.col("line_a")), shingles(F.col("line_b")))).select("a", "b")
+        sets.withColumnsRenamed({"line_id": "b", "set": "set_b"}), "b")
+    return both.where(alike(F.col("set_a"), F.col("set_b"))).select("a", "b")
 
 
 def line_links(lines: DataFrame) -> DataFrame:
@@ -87,34 +90,39 @@ def line_links(lines: DataFrame) -> DataFrame:
     sizes = keyed.groupBy("key").agg(F.count("line_id").alias("n")).where("n > 1")
     # ``label``: the leader through which a line is already connected, null if through none.
     state = materialize(look_up(keyed, sizes, ["key"], "n", keyed.count()).where("n is not null")
-                        .select("key", "line_id", F.lit(None).cast("long").alias("label")), "line-state")
+                        .select("key", "line_id", "size", F.lit(None).cast("long").alias("label")), "line-state")
+    # Most lines share no bucket; the sets of those that do are cut once and read by every round.
+    sets = materialize(lines.join(state.select("line_id").distinct(), "line_id").select(
+        "line_id", shingles(F.col("line")).alias("set")), "line-sets")
     found: list[DataFrame] = []
     while total := state.count():
         # More leaders a round instead of more rounds: at most twice the comparisons that are needed anyway.
         places = min(LEADERS << len(found), MOST_LEADERS)
         best = (state.groupBy("key", F.pmod(F.xxhash64("line_id", F.lit(len(found))), F.lit(places)).alias("place"))
-                .agg(F.min(F.struct(F.col("label").isNull().alias("x"), "line_id", "label")).alias("l"),
+                .agg(F.min(F.struct(F.col("label").isNull().alias("x"), "line_id", "label", "size")).alias("l"),
                      F.count("line_id").alias("n")))
         leaders = best.groupBy("key").agg(
-            F.collect_list(F.struct(F.col("l.line_id").alias("id"), F.coalesce("l.label", "l.line_id").alias("label")))
-            .alias("leaders"), F.sum("n").alias("n"))
+            F.collect_list(F.struct(F.col("l.line_id").alias("id"), F.coalesce("l.label", "l.line_id").alias("label"),
+                                    F.col("l.size").alias("size"))).alias("leaders"), F.sum("n").alias("n"))
         led = materialize(look_up(state, leaders, ["key"], "n", total).select(
-            "key", "line_id", "label", F.explode("leaders").alias("leader")), "line-leaders")
+            "key", "line_id", "size", "label", F.explode("leaders").alias("leader")), "line-leaders")
         a, b = F.least("line_id", "leader.id").alias("a"), F.greatest("line_id", "leader.id").alias("b")
-        tried = led.where("line_id <> leader.id").select("key", "line_id", "leader.label", a, b)
-        links = materialize(similar(tried.select("a", "b").distinct(), lines), "line-links")
+        tried = led.where("line_id <> leader.id").where(sizes_allow(F.col("size"), F.col("leader.size"))).select(
+            "key", "line_id", "leader.label", a, b)
+        pairs = materialize(tried.select("a", "b").distinct(), "line-pairs")
+        links = materialize(similar(pairs, sets), "line-links")
         found.append(links)
         reached = tried.join(links, ["a", "b"]).groupBy("key", "line_id").agg(F.min("label").alias("via"))
         is_leader = F.max(F.col("line_id") == F.col("leader.id"))
-        left = (led.groupBy("key", "line_id", "label").agg(is_leader.alias("leads")).where("not leads")
+        left = (led.groupBy("key", "line_id", "size", "label").agg(is_leader.alias("leads")).where("not leads")
                 .join(reached, ["key", "line_id"], "left")
-                .select("key", "line_id", F.least("label", "via").alias("label")))
+                .select("key", "line_id", "size", F.least("label", "via").alias("label")))
         left = materialize(left, "line-state")
         # A bucket whose remaining lines all hang on one leader is connected as far as it is.
         open_ = left.groupBy("key").agg(F.count("line_id").alias("n"), F.count("label").alias("k"), F.min("label").alias("lo"),
                                         F.max("label").alias("hi")).where("k < n or lo < hi").where("n > 1")
         state = materialize(look_up(left, open_.select("key", "n"), ["key"], "n", max(1, left.count()))
-                            .where("n is not null").select("key", "line_id", "label"), "line-state")
+                            .where("n is not null").select("key", "line_id", "size", "label"), "line-state")
     if not found:
         return lines.select(F.col("line_id").alias("a"), F.col("line_id").alias("b")).where("false")
     return reduce(DataFrame.unionByName, found)
