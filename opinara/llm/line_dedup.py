@@ -25,8 +25,8 @@ SIMILARITY = 80
 BANDS, ROWS = 6, 3
 #: Leaders of a bucket in the first round; every further one has twice as many, up to the second number.
 LEADERS, MOST_LEADERS = 16, 1024
-#: Characters of a shingle, and the words it can reach into.
-SHINGLE, REACH = 9, 5
+#: Characters of a shingle.
+SHINGLE = 9
 
 
 def lines_of(text: Column) -> Column:
@@ -34,22 +34,24 @@ def lines_of(text: Column) -> Column:
 
 
 def has_word(line: Column) -> Column:
-    return line.rlike(SPACE_CLASS.replace("[", "[^"))
+    return F.ltrim(line, F.lit(SPACES)) != ""
 
 
-def shingles(line: Column) -> Column:
-    """The distinct 64-bit hashes of nine characters from every word start, words joined by one space.
+def shingle_texts(line: Column) -> Column:
+    """Nine characters from every word start, words joined by one space.
 
-    Split words keep this linear in the line; a regular expression that returns
-    all overlapping matches copies the line for each of them.
+    Every word is replaced by its shingle and a line break, which no line holds.
+    That is one pass over the line; a regular expression that returns all
+    overlapping matches copies the line for each of them.
     """
-    def cut(words: Column) -> Column:
-        return F.transform(words, lambda w, i: F.xxhash64(F.substring(
-            F.concat_ws(" ", w, *[F.get(words, i + k) for k in range(1, REACH)]), 1, SHINGLE)))
+    joined = F.regexp_replace(F.btrim(line, F.lit(SPACES)), SPACE_CLASS + "+", " ")
+    marked = F.regexp_replace(joined, f"(?s)(?=(.{{1,{SHINGLE}}}))[^ ]+ ?", "$1\n")
+    return F.split(F.rtrim(marked, F.lit("\n")), "\n")
+
 
-    # Bound as a variable, the words are split once.
-    words = F.split(F.btrim(line, F.lit(SPACES)), SPACE_CLASS + "+")
-    return F.array_distinct(F.flatten(F.transform(F.array(words), cut)))
+def shingles(line: Column) -> Column:
+    """The distinct 64-bit hashes of the shingles."""
+    return F.array_distinct(F.transform(shingle_texts(line), lambda s: F.xxhash64(s)))
 
 
 def alike(x: Column, y: Column) -> Column:
@@ -63,21 +65,23 @@ def sizes_allow(x: Column, y: Column) -> Column:
 
 
 def band_keys(lines: DataFrame) -> DataFrame:
-    """``line_id, size, key``: one number per band from the minima of its seeded hashes, and the set's size.
+    """``line_id, key``: one number per band from the minima of its seeded hashes.
 
     A line's shingles are exploded and their minima grouped, which stays in
     compiled code and combines before the shuffle.
     """
-    hashed = lines.select("line_id", F.explode(shingles(F.col("line"))).alias("h"))
+    hashed = (lines.select("line_id", F.explode(shingle_texts(F.col("line"))).alias("s"))
+              .select("line_id", F.xxhash64("s").alias("h")))
     least = hashed.groupBy("line_id").agg(
-        F.count("h").alias("size"), *[F.min(F.xxhash64("h", F.lit(i))).alias(f"m{i}") for i in range(BANDS * ROWS)])
+        *[F.min(F.xxhash64("h", F.lit(i))).alias(f"m{i}") for i in range(BANDS * ROWS)])
     keys = [F.xxhash64(F.lit(b), *[f"m{i}" for i in range(b * ROWS, (b + 1) * ROWS)]) for b in range(BANDS)]
-    return least.select("line_id", "size", F.explode(F.array(*keys)).alias("key"))
+    return least.select("line_id", F.explode(F.array(*keys)).alias("key"))
 
 
 def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Of the pairs ``a, b`` those whose sets reach the similarity."""
     counted = pairs.groupBy("a").agg(F.count("b").alias("n"))
+    sets = sets.select("line_id", "set")
     leaders = counted.join(sets.withColumnsRenamed({"line_id": "a", "set": "set_a"}), "a")
     both = look_up(pairs, leaders, ["a"], "n", pairs.count()).join(
         sets.withColumnsRenamed({"line_id": "b", "set": "set_b"}), "b")
@@ -88,12 +92,14 @@ def line_links(lines: DataFrame) -> DataFrame:
     """Links ``a, b`` between similar lines of ``line_id, line``."""
     keyed = materialize(band_keys(lines), "line-bands")
     sizes = keyed.groupBy("key").agg(F.count("line_id").alias("n")).where("n > 1")
-    # ``label``: the leader through which a line is already connected, null if through none.
-    state = materialize(look_up(keyed, sizes, ["key"], "n", keyed.count()).where("n is not null")
-                        .select("key", "line_id", "size", F.lit(None).cast("long").alias("label")), "line-state")
+    # ``label`` of the state: the leader through which a line is already connected, null if through none.
+    shared = materialize(look_up(keyed, sizes, ["key"], "n", keyed.count()).where("n is not null")
+                         .select("key", "line_id"), "line-shared")
     # Most lines share no bucket; the sets of those that do are cut once and read by every round.
-    sets = materialize(lines.join(state.select("line_id").distinct(), "line_id").select(
-        "line_id", shingles(F.col("line")).alias("set")), "line-sets")
+    sets = materialize(lines.join(shared.select("line_id").distinct(), "line_id").select(
+        "line_id", shingles(F.col("line")).alias("set")).withColumn("size", F.size("set")), "line-sets")
+    state = materialize(shared.join(sets.select("line_id", "size"), "line_id").select(
+        "key", "line_id", "size", F.lit(None).cast("long").alias("label")), "line-state")
     found: list[DataFrame] = []
     while total := state.count():
         # More leaders a round instead of more rounds: at most twice the comparisons that are needed anyway.
