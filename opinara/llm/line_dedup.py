@@ -38,20 +38,23 @@ def has_word(line: Column) -> Column:
 
 
 def shingle_texts(line: Column) -> Column:
-    """Nine characters from every word start, words joined by one space.
+    """Nine characters from every word start, words joined by one space; the last entry is empty.
 
     Every word is replaced by its shingle and a line break, which no line holds.
     That is one pass over the line; a regular expression that returns all
     overlapping matches copies the line for each of them.
     """
-    joined = F.regexp_replace(F.btrim(line, F.lit(SPACES)), SPACE_CLASS + "+", " ")
+    trimmed = F.btrim(line, F.lit(SPACES))
+    # Most lines are joined by single blanks already; plain searches find those that are not.
+    uneven = reduce(Column.__or__, [F.contains(line, F.lit(x)) for x in ["  ", *SPACES[1:]]])
+    joined = F.when(uneven, F.regexp_replace(trimmed, SPACE_CLASS + "+", " ")).otherwise(trimmed)
     marked = F.regexp_replace(joined, f"(?s)(?=(.{{1,{SHINGLE}}}))[^ ]+ ?", "$1\n")
-    return F.split(F.rtrim(marked, F.lit("\n")), "\n")
+    return F.split(marked, "\n")
 
 
 def shingles(line: Column) -> Column:
     """The distinct 64-bit hashes of the shingles."""
-    return F.array_distinct(F.transform(shingle_texts(line), lambda s: F.xxhash64(s)))
+    return F.array_distinct(F.transform(F.array_remove(shingle_texts(line), ""), lambda s: F.xxhash64(s)))
 
 
 def alike(x: Column, y: Column) -> Column:
@@ -71,7 +74,7 @@ def band_keys(lines: DataFrame) -> DataFrame:
     compiled code and combines before the shuffle.
     """
     hashed = (lines.select("line_id", F.explode(shingle_texts(F.col("line"))).alias("s"))
-              .select("line_id", F.xxhash64("s").alias("h")))
+              .where("s <> ''").select("line_id", F.xxhash64("s").alias("h")))
     least = hashed.groupBy("line_id").agg(
         *[F.min(F.xxhash64("h", F.lit(i))).alias(f"m{i}") for i in range(BANDS * ROWS)])
     keys = [F.xxhash64(F.lit(b), *[f"m{i}" for i in range(b * ROWS, (b + 1) * ROWS)]) for b in range(BANDS)]
