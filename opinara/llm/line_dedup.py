@@ -2,11 +2,11 @@
 
 Equal lines are joined first. Every distinct line has a set of character
 shingles: nine characters from each word start, as 64-bit hashes. Minima of seeded hashes are
-banded; inside a band's bucket a few leaders at a time are compared with all
-lines that have not led, by exact Jaccard similarity, until what is left is known
-to be connected, so a bucket keeps every connection without all its pairs.
-Linked lines form components by union-find over written tables; the first line
-of each stays.
+banded; inside a band's bucket a few leaders at a time are compared, by exact
+Jaccard similarity, with the lines not yet connected to them, until what is left
+is known to be connected, so no connection is lost and a group of copies costs
+a few rows a line instead of all its pairs. Linked lines form components by
+union-find over written tables; the first line of each stays.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ SIMILARITY = 80
 #: At 0.8 a pair shares a band with probability 1 - (1 - 0.8 ** 3) ** 6 = 0.986.
 BANDS, ROWS = 6, 3
 #: Leaders of a bucket in the first round; every further one has twice as many, up to the second number.
-LEADERS, MOST_LEADERS = 16, 1024
+LEADERS, MOST_LEADERS = 8, 1024
 #: Characters of a shingle.
 SHINGLE = 9
 
@@ -91,50 +91,52 @@ def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where(alike(F.col("set_a"), F.col("set_b"))).select("a", "b")
 
 
-def line_links(lines: DataFrame) -> DataFrame:
-    """Links ``a, b`` between similar lines of ``line_id, line``."""
+def line_roots(lines: DataFrame) -> DataFrame:
+    """``node, root`` of every line of ``line_id, line`` that is linked to another.
+
+    Every round compares a few leaders of each bucket with the bucket's lines that
+    are not yet connected to them through any bucket; leaders then leave, and so
+    do buckets whose lines are all connected. Lines without a link lead first, so
+    a large group needs no further leaders once the lines apart from it have led.
+    """
     keyed = materialize(band_keys(lines), "line-bands")
     sizes = keyed.groupBy("key").agg(F.count("line_id").alias("n")).where("n > 1")
-    # ``label`` of the state: the leader through which a line is already connected, null if through none.
     shared = materialize(look_up(keyed, sizes, ["key"], "n", keyed.count()).where("n is not null")
                          .select("key", "line_id"), "line-shared")
     # Most lines share no bucket; the sets of those that do are cut once and read by every round.
     sets = materialize(lines.join(shared.select("line_id").distinct(), "line_id").select(
         "line_id", shingles(F.col("line")).alias("set")).withColumn("size", F.size("set")), "line-sets")
+    # ``label``: the root of a line that is linked, null for others.
     state = materialize(shared.join(sets.select("line_id", "size"), "line_id").select(
         "key", "line_id", "size", F.lit(None).cast("long").alias("label")), "line-state")
-    found: list[DataFrame] = []
+    roots = lines.select(F.col("line_id").alias("node"), F.col("line_id").alias("root")).where("false")
+    mine, a_round = F.coalesce("label", "line_id"), 0
     while total := state.count():
         # More leaders a round instead of more rounds: at most twice the comparisons that are needed anyway.
-        places = min(LEADERS << len(found), MOST_LEADERS)
-        best = (state.groupBy("key", F.pmod(F.xxhash64("line_id", F.lit(len(found))), F.lit(places)).alias("place"))
-                .agg(F.min(F.struct(F.col("label").isNull().alias("x"), "line_id", "label", "size")).alias("l"),
+        places = min(LEADERS << a_round, MOST_LEADERS)
+        best = (state.groupBy("key", F.pmod(F.xxhash64("line_id", F.lit(a_round)), F.lit(places)).alias("place"))
+                .agg(F.min(F.struct(F.col("label").isNotNull().alias("x"), "line_id", "label", "size")).alias("l"),
                      F.count("line_id").alias("n")))
         leaders = best.groupBy("key").agg(
             F.collect_list(F.struct(F.col("l.line_id").alias("id"), F.coalesce("l.label", "l.line_id").alias("label"),
                                     F.col("l.size").alias("size"))).alias("leaders"), F.sum("n").alias("n"))
-        led = materialize(look_up(state, leaders, ["key"], "n", total).select(
-            "key", "line_id", "size", "label", F.explode("leaders").alias("leader")), "line-leaders")
-        a, b = F.least("line_id", "leader.id").alias("a"), F.greatest("line_id", "leader.id").alias("b")
-        tried = led.where("line_id <> leader.id").where(sizes_allow(F.col("size"), F.col("leader.size"))).select(
-            "key", "line_id", "leader.label", a, b)
-        pairs = materialize(tried.select("a", "b").distinct(), "line-pairs")
+        met = look_up(state, leaders, ["key"], "n", total)
+        others = F.filter("leaders", lambda l: (l["label"] != mine) & sizes_allow(l["size"], F.col("size")))
+        tried = met.select("line_id", F.explode(others).alias("leader")).select(
+            F.least("line_id", "leader.id").alias("a"), F.greatest("line_id", "leader.id").alias("b"))
+        pairs = materialize(tried.distinct(), "line-pairs")
         links = materialize(similar(pairs, sets), "line-links")
-        found.append(links)
-        reached = tried.join(links, ["a", "b"]).groupBy("key", "line_id").agg(F.min("label").alias("via"))
-        is_leader = F.max(F.col("line_id") == F.col("leader.id"))
-        left = (led.groupBy("key", "line_id", "size", "label").agg(is_leader.alias("leads")).where("not leads")
-                .join(reached, ["key", "line_id"], "left")
-                .select("key", "line_id", "size", F.least("label", "via").alias("label")))
-        left = materialize(left, "line-state")
-        # A bucket whose remaining lines all hang on one leader is connected as far as it is.
+        if not links.isEmpty():
+            roots = materialize(components(links.unionAll(roots.select("node", "root")), "line-components"), "line-roots")
+        left = met.where(~F.exists("leaders", lambda l: l["id"] == F.col("line_id"))).select("key", "line_id", "size")
+        left = materialize(left.join(roots.withColumnsRenamed({"node": "line_id", "root": "label"}), "line_id", "left")
+                           .select("key", "line_id", "size", "label"), "line-state")
         open_ = left.groupBy("key").agg(F.count("line_id").alias("n"), F.count("label").alias("k"), F.min("label").alias("lo"),
                                         F.max("label").alias("hi")).where("k < n or lo < hi").where("n > 1")
         state = materialize(look_up(left, open_.select("key", "n"), ["key"], "n", max(1, left.count()))
                             .where("n is not null").select("key", "line_id", "size", "label"), "line-state")
-    if not found:
-        return lines.select(F.col("line_id").alias("a"), F.col("line_id").alias("b")).where("false")
-    return reduce(DataFrame.unionByName, found)
+        a_round += 1
+    return roots
 
 
 def fuzzy_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -155,7 +157,7 @@ def fuzzy_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     texts = docs.select(F.explode(lines_of(text)).alias("line")).where(has_word(F.col("line")))
     texts = texts.groupBy(F.unhex(F.md5("line")).alias("digest")).agg(F.min("line").alias("line"))
     lines = materialize(texts.join(known, "digest").withColumn("line_id", F.monotonically_increasing_id()), "lines")
-    roots = components(line_links(lines), "line-components").withColumnRenamed("node", "line_id")
+    roots = line_roots(lines).withColumnRenamed("node", "line_id")
     # Only lines with a copy or a link can lose a place.
     grouped = lines.select("line_id", "digest", "first", "n").join(roots, "line_id", "left").where(
         "n > 1 or root is not null").withColumn("root", F.coalesce("root", "line_id"))
