@@ -1,8 +1,8 @@
 """Fuzzy line deduplication by MinHash. DataFrame functions only.
 
 Equal lines are joined first. Every distinct line has a set of character
-shingles: nine characters from each word start, as 64-bit hashes. Minima of seeded hashes are
-banded; inside a band's bucket a few leaders at a time are compared, by exact
+shingles: nine characters from every place of the line (words joined by one
+space), as 64-bit hashes. Minima of seeded hashes are banded; inside a band's bucket a few leaders at a time are compared, by exact
 Jaccard similarity, with the lines not yet connected to them, until what is left
 is known to be connected, so no connection is lost and a group of copies costs
 a few rows a line instead of all its pairs. Linked lines form components by
@@ -27,6 +27,10 @@ BANDS, ROWS = 6, 3
 LEADERS, MOST_LEADERS = 8, 1024
 #: Characters of a shingle.
 SHINGLE = 9
+#: Shingles of a piece and of a piece of it: a place in a text is found by reading it from its start, so long lines are cut twice.
+PIECES = 4096, 64
+#: 64-bit words of a sketch.
+SKETCH = 8
 
 
 def lines_of(text: Column) -> Column:
@@ -37,24 +41,33 @@ def has_word(line: Column) -> Column:
     return F.ltrim(line, F.lit(SPACES)) != ""
 
 
-def shingle_texts(line: Column) -> Column:
-    """Nine characters from every word start, words joined by one space; the last entry is empty.
-
-    Every word is replaced by its shingle and a line break, which no line holds.
-    That is one pass over the line; a regular expression that returns all
-    overlapping matches copies the line for each of them.
-    """
+def folded(line: Column) -> Column:
+    """The line's words joined by one space."""
     trimmed = F.btrim(line, F.lit(SPACES))
     # Most lines are joined by single blanks already; plain searches find those that are not.
     uneven = reduce(Column.__or__, [F.contains(line, F.lit(x)) for x in ["  ", *SPACES[1:]]])
-    joined = F.when(uneven, F.regexp_replace(trimmed, SPACE_CLASS + "+", " ")).otherwise(trimmed)
-    marked = F.regexp_replace(joined, f"(?s)(?=(.{{1,{SHINGLE}}}))[^ ]+ ?", "$1\n")
-    return F.split(marked, "\n")
+    return F.when(uneven, F.regexp_replace(trimmed, SPACE_CLASS + "+", " ")).otherwise(trimmed)
+
+
+def starts(text: Column, step: int = 1) -> Column:
+    """Every ``step``-th place (from 0) at which a shingle begins; a shorter text is one shingle."""
+    return F.sequence(F.lit(0), F.greatest(F.length(text) - SHINGLE, F.lit(0)), F.lit(step))
+
+
+def pieces(text: Column, step: int) -> Column:
+    """The text cut so that every shingle lies in exactly one piece, ``step`` of them in each."""
+    return F.transform(starts(text, step), lambda i: text.substr(i + 1, F.lit(step + SHINGLE - 1)))
+
+
+def shingle_at(text: Column, place: Column) -> Column:
+    return F.xxhash64(text.substr(place + 1, F.lit(SHINGLE)))
 
 
 def shingles(line: Column) -> Column:
-    """The distinct 64-bit hashes of the shingles."""
-    return F.array_distinct(F.transform(F.array_remove(shingle_texts(line), ""), lambda s: F.xxhash64(s)))
+    """The distinct 64-bit hashes of the nine characters at every place of the line."""
+    hashes = lambda text: F.transform(starts(text), lambda i: shingle_at(text, i))
+    short = lambda text: F.flatten(F.transform(pieces(text, PIECES[1]), hashes))
+    return F.array_distinct(F.flatten(F.transform(pieces(folded(line), PIECES[0]), short)))
 
 
 def alike(x: Column, y: Column) -> Column:
@@ -67,28 +80,44 @@ def sizes_allow(x: Column, y: Column) -> Column:
     return F.least(x, y) * 100 >= F.greatest(x, y) * SIMILARITY
 
 
+def sketches(lines: DataFrame) -> DataFrame:
+    """``line_id, size, sketch``: the distinct hashes, and for each of 64 * SKETCH classes whether their number is odd."""
+    bit, word = F.expr("shiftleft(1L, int(h & 63))"), F.shiftrightunsigned("h", 6).bitwiseAND(F.lit(SKETCH - 1))
+    words = [F.coalesce(F.bit_xor(F.when(word == i, bit)), F.lit(0).cast("long")) for i in range(SKETCH)]
+    return (lines.select("line_id", F.explode(shingles(F.col("line"))).alias("h")).groupBy("line_id")
+            .agg(F.count("h").cast("int").alias("size"), F.array(*words).alias("sketch")))
+
+
+def sketches_allow(x: Column, size_x: Column, y: Column, size_y: Column) -> Column:
+    """Whether sets with these sketches can reach it: every class that differs holds a hash that only one set has."""
+    apart = reduce(Column.__add__, [F.bit_count(F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i)))) for i in range(SKETCH)])
+    return apart * (100 + SIMILARITY) <= (size_x + size_y) * (100 - SIMILARITY)
+
+
 def band_keys(lines: DataFrame) -> DataFrame:
     """``line_id, key``: one number per band from the minima of its seeded hashes.
 
     A line's shingles are exploded and their minima grouped, which stays in
     compiled code and combines before the shuffle.
     """
-    hashed = (lines.select("line_id", F.explode(shingle_texts(F.col("line"))).alias("s"))
-              .where("s <> ''").select("line_id", F.xxhash64("s").alias("h")))
+    cut = lines.select("line_id", folded(F.col("line")).alias("line"))
+    for step in PIECES:
+        cut = cut.select("line_id", F.explode(pieces(F.col("line"), step)).alias("line"))
+    hashed = (cut.select("line_id", "line", F.explode(starts(F.col("line"))).alias("at"))
+              .select("line_id", shingle_at(F.col("line"), F.col("at")).alias("h")))
     least = hashed.groupBy("line_id").agg(
         *[F.min(F.xxhash64("h", F.lit(i))).alias(f"m{i}") for i in range(BANDS * ROWS)])
     keys = [F.xxhash64(F.lit(b), *[f"m{i}" for i in range(b * ROWS, (b + 1) * ROWS)]) for b in range(BANDS)]
     return least.select("line_id", F.explode(F.array(*keys)).alias("key"))
 
 
-def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Of the pairs ``a, b`` those whose sets reach the similarity."""
+def similar(pairs: DataFrame, lines: DataFrame) -> DataFrame:
+    """Of the pairs ``a, b`` those whose sets reach the similarity; sets are cut where two lines meet, as text is smaller."""
     counted = pairs.groupBy("a").agg(F.count("b").alias("n"))
-    sets = sets.select("line_id", "set")
-    leaders = counted.join(sets.withColumnsRenamed({"line_id": "a", "set": "set_a"}), "a")
-    both = look_up(pairs, leaders, ["a"], "n", pairs.count()).join(
-        sets.withColumnsRenamed({"line_id": "b", "set": "set_b"}), "b")
-    return both.where(alike(F.col("set_a"), F.col("set_b"))).select("a", "b")
+    leaders = counted.join(lines.withColumnsRenamed({"line_id": "a", "line": "line_a"}), "a")
+    met = pairs.join(lines.withColumnsRenamed({"line_id": "b", "line": "line_b"}), "b")
+    both = look_up(met, leaders, ["a"], "n", pairs.count())
+    return both.where(alike(shingles(F.col("line_a")), shingles(F.col("line_b")))).select("a", "b")
 
 
 def line_roots(lines: DataFrame) -> DataFrame:
@@ -103,38 +132,38 @@ def line_roots(lines: DataFrame) -> DataFrame:
     sizes = keyed.groupBy("key").agg(F.count("line_id").alias("n")).where("n > 1")
     shared = materialize(look_up(keyed, sizes, ["key"], "n", keyed.count()).where("n is not null")
                          .select("key", "line_id"), "line-shared")
-    # Most lines share no bucket; the sets of those that do are cut once and read by every round.
-    sets = materialize(lines.join(shared.select("line_id").distinct(), "line_id").select(
-        "line_id", shingles(F.col("line")).alias("set")).withColumn("size", F.size("set")), "line-sets")
+    # Most lines share no bucket; those that do are read by every round.
+    texts = materialize(lines.join(shared.select("line_id").distinct(), "line_id").select("line_id", "line"), "line-texts")
     # ``label``: the root of a line that is linked, null for others.
-    state = materialize(shared.join(sets.select("line_id", "size"), "line_id").select(
-        "key", "line_id", "size", F.lit(None).cast("long").alias("label")), "line-state")
+    state = materialize(shared.join(sketches(texts), "line_id").select(
+        "key", "line_id", "size", "sketch", F.lit(None).cast("long").alias("label")), "line-state")
     roots = lines.select(F.col("line_id").alias("node"), F.col("line_id").alias("root")).where("false")
     mine, a_round = F.coalesce("label", "line_id"), 0
     while total := state.count():
         # More leaders a round instead of more rounds: at most twice the comparisons that are needed anyway.
         places = min(LEADERS << a_round, MOST_LEADERS)
         best = (state.groupBy("key", F.pmod(F.xxhash64("line_id", F.lit(a_round)), F.lit(places)).alias("place"))
-                .agg(F.min(F.struct(F.col("label").isNotNull().alias("x"), "line_id", "label", "size")).alias("l"),
+                .agg(F.min(F.struct(F.col("label").isNotNull().alias("x"), "line_id", "label", "size", "sketch")).alias("l"),
                      F.count("line_id").alias("n")))
         leaders = best.groupBy("key").agg(
             F.collect_list(F.struct(F.col("l.line_id").alias("id"), F.coalesce("l.label", "l.line_id").alias("label"),
-                                    F.col("l.size").alias("size"))).alias("leaders"), F.sum("n").alias("n"))
+                                    F.col("l.size").alias("size"), F.col("l.sketch").alias("sketch"))).alias("leaders"),
+            F.sum("n").alias("n"))
         met = look_up(state, leaders, ["key"], "n", total)
-        others = F.filter("leaders", lambda l: (l["label"] != mine) & sizes_allow(l["size"], F.col("size")))
-        tried = met.select("line_id", F.explode(others).alias("leader")).select(
-            F.least("line_id", "leader.id").alias("a"), F.greatest("line_id", "leader.id").alias("b"))
+        others = F.filter("leaders", lambda l: (l["label"] != mine) & sizes_allow(l["size"], F.col("size")) & sketches_allow(
+            l["sketch"], l["size"], F.col("sketch"), F.col("size")))
+        tried = met.select(F.col("line_id").alias("b"), F.explode(F.transform(others, lambda l: l["id"])).alias("a"))
         pairs = materialize(tried.distinct(), "line-pairs")
-        links = materialize(similar(pairs, sets), "line-links")
+        links = materialize(similar(pairs, texts), "line-links")
         if not links.isEmpty():
             roots = materialize(components(links.unionAll(roots.select("node", "root")), "line-components"), "line-roots")
-        left = met.where(~F.exists("leaders", lambda l: l["id"] == F.col("line_id"))).select("key", "line_id", "size")
+        left = met.where(~F.exists("leaders", lambda l: l["id"] == F.col("line_id"))).select("key", "line_id", "size", "sketch")
         left = materialize(left.join(roots.withColumnsRenamed({"node": "line_id", "root": "label"}), "line_id", "left")
-                           .select("key", "line_id", "size", "label"), "line-state")
+                           .select("key", "line_id", "size", "sketch", "label"), "line-state")
         open_ = left.groupBy("key").agg(F.count("line_id").alias("n"), F.count("label").alias("k"), F.min("label").alias("lo"),
                                         F.max("label").alias("hi")).where("k < n or lo < hi").where("n > 1")
         state = materialize(look_up(left, open_.select("key", "n"), ["key"], "n", max(1, left.count()))
-                            .where("n is not null").select("key", "line_id", "size", "label"), "line-state")
+                            .where("n is not null").select("key", "line_id", "size", "sketch", "label"), "line-state")
         a_round += 1
     return roots
 

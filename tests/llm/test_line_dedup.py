@@ -53,3 +53,37 @@ def test_lines(spark):
     text = spark.createDataFrame([("a\nb\n\nc", [0, 3])], "t string, d array<int>")
     assert text.select(line_dedup.without_lines(F.col("t"), F.col("d"))).first()[0] == "b\n"
     assert line_dedup.fuzzy_lines(df.limit(0)).count() == 0
+
+
+def whole(line):
+    """All shingles of a line, at every place."""
+    line = " ".join(re.findall(r"[^\x20\x09-\x0D]+", line))
+    return {line[i:i + 9] for i in range(max(len(line) - 8, 1))}
+
+
+def test_every_place_counts(spark):
+    """URLs, long words and scripts without blanks against brute force over all shingles."""
+    random.seed(8)
+    signs = lambda a, b, n: "".join(chr(random.randint(a, b)) for _ in range(n))
+    lines = ["Visit https://example.com/a", "Visit https://example.com/b/other/page", "short", "shore", "x  y", "x y"]
+    for a, b in ((0x4E00, 0x9FA5), (0x3041, 0x3096), (0x0E01, 0x0E2E), (0x1F600, 0x1F640), (97, 122)):
+        head = signs(a, b, 9)
+        lines += [head + signs(a, b, 60) for _ in range(5)]
+        same = head + signs(a, b, 400)
+        lines += [same, same[:200] + signs(a, b, 2) + same[202:]]
+    lines += ["https://example.com/" + signs(97, 122, 40) for _ in range(5)]
+    long = signs(97, 122, 9000)
+    lines += [long, long[:8999] + "!", long[:4500], signs(97, 122, 4104), signs(97, 122, 72)]
+    got = spark.createDataFrame([(x,) for x in lines], "line string").select(
+        "line", F.size(line_dedup.shingles(F.col("line"))).alias("n")).collect()
+    sets = [whole(x) for x in lines]
+    assert [r.n for r in got] == [len(whole(r.line)) for r in got]
+    # In order of id: the first of every component stays.
+    first = list(range(len(lines)))
+    for i in range(len(lines)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) and first[i] == i:
+                first[i] = first[j]
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    kept = {r.id for r in line_dedup.fuzzy_lines(df).collect() if r.n_kept}
+    assert kept == set(first) and len(lines) - len(kept) == 7
