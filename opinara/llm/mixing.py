@@ -4,7 +4,8 @@ Documents are added up by membership pattern (the set of sources they belong
 to). Each pattern can send its words up to three times, each repetition dearer
 than the one before, to the quotas of its sources; the cheapest flow says how
 many words of every pattern are taken. Whole documents are then chosen by a
-seeded hash whose cut per pattern is found from counts of its leading digits.
+seeded hash whose cut per pattern is found from counts of its leading digits;
+what the cut leaves open is filled by further cuts among later, smaller documents.
 Only patterns and sources reach the driver, never documents.
 """
 
@@ -26,6 +27,8 @@ WEIGHTS, MAX_REPEATS, SEED = (5, 2, 1), 3, 42
 MAX_PATTERNS = 100_000
 #: The hash has 63 bits; its two leading digits have this many each.
 DIGIT_BITS = 12
+#: Past every draw.
+END = (1 << 63) - 1
 
 
 def water_fill(sizes: Sequence[int], weights: Sequence[float], repeats: int = MAX_REPEATS) -> list[float]:
@@ -132,24 +135,32 @@ def word_count(column: str) -> Column:
 
 
 class Mix:
-    """The decision: per pattern how often its documents are taken, and which once more."""
+    """The decision: per pattern how often its documents are taken, and which once more.
+
+    Once more go those before ``cut``, those of ``fills`` (between two places of the
+    seeded order, up to a size) and those of ``extra``.
+    """
 
     def __init__(self, patterns: DataFrame, extra: DataFrame, sources: dict, seed: int):
         self.patterns, self.extra, self.sources, self.seed = patterns, extra, sources, seed
 
-    def apply(self, rows: DataFrame, members: Column, draw: Column, prefix: str = "") -> DataFrame:
+    def apply(self, rows: DataFrame, members: Column, draw: Column, size: Column, prefix: str = "") -> DataFrame:
         """``rows`` with ``{prefix}copies``: how often the mix takes each."""
         key, number, mark = f"{prefix}members", f"{prefix}draw", f"{prefix}extra"
         pattern = self.patterns.select(F.col("members").alias(key), F.col("pid").alias(f"{prefix}pid"),
-                                       F.col("full").alias(f"{prefix}full"), F.col("cut").alias(f"{prefix}cut"))
+                                       F.col("full").alias(f"{prefix}full"), F.col("cut").alias(f"{prefix}cut"),
+                                       F.col("fills").alias(f"{prefix}fills"))
         extra = self.extra.select(F.col("pid").alias(f"{prefix}pid"), F.col("draw").alias(number),
                                   F.lit(True).alias(mark))
-        # Both tables have a few rows per pattern, and patterns are counted before.
+        # Both tables have a row or a few dozen numbers per pattern, and patterns are counted before.
         out = (rows.withColumns({key: members, number: draw})
                .join(F.broadcast(pattern), key, "left").join(F.broadcast(extra), [f"{prefix}pid", number], "left"))
-        more = (F.col(number) < F.col(f"{prefix}cut")) | F.coalesce(F.col(mark), F.lit(False))
+        # Fills of a pattern do not overlap, so at most one holds the draw.
+        most = F.get(F.filter(f"{prefix}fills", lambda x: (x["lo"] < F.col(number)) & (F.col(number) < x["hi"])), F.lit(0))["most"]
+        more = ((F.col(number) < F.col(f"{prefix}cut")) | F.coalesce(F.col(mark), F.lit(False))
+                | F.when(most.isNotNull(), (size > 0) & (size <= most)).otherwise(False))
         return (out.withColumn(f"{prefix}copies", F.coalesce(F.col(f"{prefix}full") + more.cast("int"), F.lit(0)))
-                .drop(key, number, mark, f"{prefix}pid", f"{prefix}full", f"{prefix}cut"))
+                .drop(key, number, mark, f"{prefix}pid", f"{prefix}full", f"{prefix}cut", f"{prefix}fills"))
 
 
 def _boundary(rows: DataFrame, by: list[str], digit: Column) -> DataFrame:
@@ -161,6 +172,63 @@ def _boundary(rows: DataFrame, by: list[str], digit: Column) -> DataFrame:
             .select(*by, "b.digit", "b.gap"))
 
 
+def _cuts(rows: DataFrame) -> dict:
+    """Per ``pid`` where the seeded order passes ``gap``, and the words still missing there.
+
+    Found from two digits of the hash, then the hash itself. A ``pid`` whose rows do not pass its gap is left out.
+    """
+    first = lambda c: F.shiftrightunsigned(c, 63 - DIGIT_BITS)
+    second = lambda c: F.shiftrightunsigned(c, 63 - 2 * DIGIT_BITS)
+    cut = None
+    for digit in (first, second, lambda c: c):
+        part = rows
+        if cut is not None:
+            previous, edge = cut
+            part = (rows.drop("gap").join(F.broadcast(edge), "pid")
+                    .where(previous(F.col("draw")) == F.col("digit")).drop("digit"))
+        cut = digit, materialize(_boundary(part, ["pid"], digit(F.col("draw"))), "mix-edge")
+    return {r["pid"]: (r["digit"], r["gap"]) for r in cut[1].collect()}
+
+
+def _fill(rows: DataFrame, edges: dict) -> tuple[dict, list]:
+    """``fills`` and ``extra`` for what the cuts ``edges`` leave open.
+
+    A round takes documents of at most half the gap beyond the last cut, up to
+    where they pass it, so the gap halves each time. Once they no longer
+    pass it all of them are taken, and one document of over half that gap may fit.
+    In the end no later document fits (documents repeated in id and text, which go together, apart).
+    """
+    spark, fills, last, extra = rows.sparkSession, defaultdict(list), {}, []
+    rows = rows.select("pid", "draw", "size")
+    open_ = {p: (lo, gap, gap // 2) for p, (lo, gap) in edges.items() if gap}
+    columns = "pid int, lo long, gap long, most long"
+    while open_:
+        state = F.broadcast(small_table(spark, [(p, *x) for p, x in open_.items()], columns))
+        fit = rows.join(state, "pid").where("draw > lo and size <= most")
+        sums = {r["pid"]: r["s"] for r in fit.groupBy("pid").agg(F.sum("size").alias("s")).collect()}
+        passing = any(s > open_[p][1] for p, s in sums.items())
+        cuts = _cuts(fit.select("pid", "draw", "size", "gap")) if passing else {}
+        left = {}
+        for p, (lo, gap, most) in open_.items():
+            if p in cuts:
+                hi, rest = cuts[p]
+                fills[p].append((lo, hi, most))
+                if rest:
+                    left[p] = hi, rest, min(rest, most) // 2
+                continue
+            if p in sums:
+                fills[p].append((lo, END, most))
+            if gap > sums.get(p, 0):
+                last[p] = lo, gap - sums.get(p, 0), most
+        open_ = left
+    if last:
+        state = F.broadcast(small_table(spark, [(p, *x) for p, x in last.items()], columns))
+        whole = (rows.join(state, "pid").where("draw > lo and size > most and size <= gap")
+                 .groupBy("pid", "draw").agg(F.sum("size").alias("s"), F.first("gap").alias("gap")).where("s <= gap"))
+        extra = [(r["pid"], r["draw"]) for r in whole.groupBy("pid").agg(F.min("draw").alias("draw")).collect()]
+    return fills, extra
+
+
 def draw_of(seed: int, id_column: str, text_column: str) -> Column:
     """The place of a document in its pattern's seeded order."""
     return seeded(seed, F.col(id_column).cast("string"), F.col(text_column).cast("string"))
@@ -193,33 +261,14 @@ def plan_mix(sized: DataFrame, weights: Sequence[float] = WEIGHTS, repeats: int
     full = [t // r["size"] if r["size"] else 0 for t, r in zip(taken, sums)]
     plan = small_table(spark, [(i, list(r["members"]), f, t - f * r["size"]) for i, (r, f, t)
                                in enumerate(zip(sums, full, taken))], "pid int, members array<string>, full long, gap long")
-    # Where the seeded order passes the words still missing: two digits of the hash, then the hash itself.
-    first = lambda c: F.shiftrightunsigned(c, 63 - DIGIT_BITS)
-    second = lambda c: F.shiftrightunsigned(c, 63 - 2 * DIGIT_BITS)
-    open_rows = sized.where("size > 0").join(F.broadcast(plan.where("gap > 0")), "members").select(
-        "pid", "size", "draw", "gap")
-    cut = None
-    for digit in (first, second, lambda c: c):
-        rows = open_rows
-        if cut is not None:
-            previous, edge = cut
-            rows = (open_rows.drop("gap").join(F.broadcast(edge), "pid")
-                    .where(previous(F.col("draw")) == F.col("digit")).drop("digit"))
-        cut = digit, materialize(_boundary(rows, ["pid"], digit(F.col("draw"))), "mix-edge")
-    edges = {r["pid"]: (r["digit"], r["gap"]) for r in cut[1].collect()}
-    # What the cut leaves open is filled with one later document of each size class, largest first.
-    later = (open_rows.drop("gap").join(F.broadcast(cut[1]), "pid").where("draw >= digit and size <= gap")
-             .groupBy("pid", F.floor(F.log2("size")).alias("class"))
-             .agg(F.min(F.struct("draw", "size")).alias("pick")).select("pid", "class", "pick.*").collect())
-    extra = []
-    for r in sorted(later, key=lambda r: (r["pid"], -r["class"])):
-        digit, gap = edges[r["pid"]]
-        if r["size"] <= gap:
-            edges[r["pid"]] = digit, gap - r["size"]
-            extra.append((r["pid"], r["draw"]))
-    patterns = small_table(spark, [(i, list(r["members"]), f, edges.get(i, (0, 0))[0])
+    open_rows = materialize(sized.where("size > 0").join(F.broadcast(plan.where("gap > 0")), "members").select(
+        "pid", "size", "draw", "gap"), "mix-open")
+    edges = _cuts(open_rows)
+    fills, extra = _fill(open_rows, edges)
+    patterns = small_table(spark, [(i, list(r["members"]), f, edges.get(i, (0, 0))[0], fills.get(i, []))
                                    for i, (r, f) in enumerate(zip(sums, full))],
-                           "pid int, members array<string>, full long, cut long")
+                           "pid int, members array<string>, full long, cut long, "
+                           "fills array<struct<lo: long, hi: long, most: long>>")
     return Mix(patterns, small_table(spark, extra, "pid int, draw long"),
                {s: (z, t) for s, z, t in zip(sources, size, targets)}, seed)
 
@@ -245,7 +294,8 @@ def mix_report(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     mix = plan_mix(sized.select("members", "size", "draw"), weights, repeats, seed)
     shares = small_table(docs.sparkSession, [([s], z, t) for s, (z, t) in mix.sources.items()],
                          "members array<string>, source_size long, target double")
-    out = mix.apply(sized.select("id", "source", "members", "size", "draw"), F.col("members"), F.col("draw"), "__")
+    out = mix.apply(sized.select("id", "source", "members", "size", "draw"), F.col("members"), F.col("draw"), F.col("size"),
+                    "__")
     return (out.join(F.broadcast(shares), "members", "left")
             .select("id", "source", "size", "source_size", "target", F.col("__copies").alias("copies"),
                     (F.col("size") * F.col("__copies")).alias("taken")))
@@ -262,6 +312,6 @@ def mix_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     prefix = "__mix_"
     while any(c.startswith(prefix) for c in docs.columns):
         prefix = f"_{prefix}"
-    taken = mix.apply(docs, members, draw, prefix).where(F.col(f"{prefix}copies") > 0)
+    taken = mix.apply(docs, members, draw, word_count(text_column), prefix).where(F.col(f"{prefix}copies") > 0)
     copies = F.explode(F.sequence(F.lit(1), F.col(f"{prefix}copies").cast("int")))
     return taken.withColumn(f"{prefix}copy", copies).select(*[F.col(f"`{c}`") for c in docs.columns])

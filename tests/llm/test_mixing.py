@@ -84,3 +84,23 @@ def test_mix(spark):
 def test_no_rows(spark):
     assert mixing.mix_report(docs(spark, [])).count() == 0
     assert mixing.mix_documents(docs(spark, [])).count() == 0
+
+
+def test_one_very_long_document(spark):
+    """Many short documents fill what a long one at the cut leaves open, whichever seed puts it there."""
+    rows = [(i, "w " * random.Random(i).choice([1, 10, 19]), "b") for i in range(1000)]
+    rows += [(5000, "w " * 10_000, "b"), (6000, "w " * 5_000, "a")]
+    size = {i: len(t.split()) for i, t, _ in rows}
+    short = sum(size[i] for i in range(1000))
+    table = docs(spark, rows)
+    for seed in range(3):
+        got = mixing.mix_report(table, weights=(1, 2), seed=seed).where("source = 'b'").collect()
+        target, taken = got[0].target, sum(r.taken for r in got)
+        full = min(r.copies for r in got)
+        left = target - taken
+        assert left >= 0 and all(r.copies in (full, full + 1) for r in got)
+        # No document that was left out fits any more, but those before the first cut, which all went in.
+        assert left < min([r.size for r in got if r.copies == full], default=left + 1), seed
+        assert left < 1 or short < target - 10_000 * max(r.copies for r in got if r.id == 5000)
+    mixed = mixing.mix_documents(table, weights=(1, 2), seed=0).where("source = 'b'").count()
+    assert mixed == sum(r.copies for r in mixing.mix_report(table, weights=(1, 2), seed=0).where("source = 'b'").collect())
