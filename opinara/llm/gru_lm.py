@@ -2,7 +2,7 @@
 
 Counts, vocabulary and unseen mass come from every training text: a chunk's
 distinct words are shuffled once to be counted and once back. The network then
-learns by truncated backpropagation on the first chunk of every input partition;
+learns by truncated backpropagation on every training text of every chunk;
 each chunk trains its own copy and the copies are averaged, so training grows
 with the corpus and only one set of weights reaches the driver. Scoring carries
 the state over the whole of every document.
@@ -32,8 +32,8 @@ END = VOCABULARY - 1
 RARE_BUCKETS = 64
 START = VOCABULARY + RARE_BUCKETS
 EMBEDDING, HIDDEN = 16, 16
-#: Steps of truncated backpropagation, lanes, rounds of averaging, and the share of a training chunk's texts.
-WINDOW, LANES, ROUNDS, SHARE, RATE, SEED = 32, 64, 2, 8, 0.01, 42
+#: Steps of truncated backpropagation, lanes, and rounds of averaging.
+WINDOW, LANES, ROUNDS, RATE, SEED = 32, 64, 2, 0.01, 42
 TOKENS_AT_ONCE = 400_000
 SMOOTH = 0.1
 
@@ -224,10 +224,9 @@ def training_counts(chunks: DataFrame) -> DataFrame:
 
 def train_network(chunks: DataFrame, vocabulary: dict[bytes, int],
                   weights: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-    """Rounds of local training and averaging over the first chunk of every input partition."""
+    """Rounds of local training on all training texts of each chunk, averaged by their tokens."""
     spark = chunks.sparkSession
     words = spark.sparkContext.broadcast(vocabulary)
-    first = chunks.where(F.col("chunk").bitwiseAND(F.lit((1 << 32) - 1)) == 0)
     for _ in range(ROUNDS):
         shared = spark.sparkContext.broadcast(weights)
 
@@ -236,10 +235,7 @@ def train_network(chunks: DataFrame, vocabulary: dict[bytes, int],
                 for i in range(batch.num_rows):
                     _, train, sizes, indexes, tokens = _row(batch, i)
                     target, lengths = _texts(indexes, sizes, _model_ids(tokens, words.value))
-                    # Every SHARE-th training text, whole.
-                    rank = np.cumsum(train) - 1
-                    used = train & (rank % SHARE == 0)
-                    target, lengths = target[np.repeat(used, lengths)], lengths[used]
+                    target, lengths = target[np.repeat(train, lengths)], lengths[train]
                     if not len(target):
                         continue
                     flat = flatten(learn(shared.value, target, lengths)).astype(np.float64)
@@ -248,7 +244,7 @@ def train_network(chunks: DataFrame, vocabulary: dict[bytes, int],
                          pa.array(np.full(len(flat), float(len(target))))], ["at", "weight", "tokens"])
 
         # Every round reads the written chunks again: learning is repeatable, so a lost task only repeats its own.
-        rows = (first.repartition(F.col("chunk")).mapInArrow(run, "at int, weight double, tokens double").groupBy("at")
+        rows = (chunks.repartition(F.col("chunk")).mapInArrow(run, "at int, weight double, tokens double").groupBy("at")
                 .agg((F.sum("weight") / F.sum("tokens")).alias("w")).collect())
         if rows:
             flat = np.zeros(len(rows))

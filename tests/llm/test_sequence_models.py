@@ -176,3 +176,25 @@ def test_held_out_languages(spark, data):
     truth = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang")
     right = got.join(truth, "doc_id").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0]
     assert right > 0.97
+
+
+def test_network_learns_from_every_training_text(spark):
+    """The weights against training each chunk's copy here, on all its training texts, over all chunks."""
+    texts = {i: " ".join(f"w{(i * j) % 23}" for j in range(5 + i % 7)) for i in range(60)}
+    rows = spark.createDataFrame([(i, texts[i], i % 5 != 0) for i in texts], "n long, text string, train boolean").coalesce(1)
+    made = chunks.chunk_texts(rows.select(F.struct(F.col("n").alias("id"), "train").alias("id"), "text"), "id", "text",
+                              lambda: gru_lm.words_of, 400)
+    vocabulary = {f"w{i}".encode(): i for i in range(23)}
+    weights = gru_lm.fresh_weights()
+    got = gru_lm.train_network(made, vocabulary, weights)
+    parts = [[x.id for x in r.ids if x.train] for r in made.select("ids").collect()]
+    assert len(parts) > 2 and sum(map(len, parts)) == 48
+    for _ in range(gru_lm.ROUNDS):
+        total, tokens = 0.0, 0
+        for part in filter(None, parts):
+            ids = [[vocabulary[w] for w in gru_lm.words_of(texts[i])] + [gru_lm.END] for i in part]
+            target, lengths = np.concatenate(ids), np.array([len(x) for x in ids])
+            total = total + gru_lm.flatten(gru_lm.learn(weights, target, lengths)).astype(np.float64) * len(target)
+            tokens += len(target)
+        weights = gru_lm.unflatten(total / tokens)
+    assert np.allclose(gru_lm.flatten(got), gru_lm.flatten(weights), atol=1e-5)
