@@ -151,6 +151,8 @@ class _Bayes:
             scores = job.score(out, ["alpha"])
             scores = _names(_number(scores, alphas), {i: f"alpha:{a}" for i, a in enumerate(alphas)})
         elif kind == "categorical":
+            if job.pre.texts:
+                raise ValueError("categorical naive Bayes works on coded columns; convert or drop the text")
             alphas = bayes.alpha_grid(options["low"], options["high"], options["step"])
             fitted = bayes.fit_categorical(job.pre._numbers(train), job.pre.columns, job.target)
             dev = job.pre._numbers(job.dev_raw)

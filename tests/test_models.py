@@ -168,3 +168,11 @@ def test_cleaning_runs_on_a_stream(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert {tuple(r) for r in spark.table("cleaned").collect()} == {("love", "POSITIVO"), ("desconocido", "NEGATIVO")}
+
+
+@pytest.mark.parametrize("kind", ["categorical", "gaussian"])
+def test_bayes_on_codes_or_numbers_refuses_text(spark, kind):
+    """A text beside a number is never dropped without a word."""
+    job = config("NaiveBayes", nb=kind, drop_features=["reviewId"])
+    with pytest.raises(ValueError, match="text"):
+        training.split_and_train(job, reviews(spark), "k", "score")
