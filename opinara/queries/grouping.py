@@ -65,6 +65,10 @@ def kmeans_assign(t):
     return C.assign_nearest(t.embeddings, "embedding", centers).select("vec_id", "cluster_id")
 
 
+# The shipped configuration: ten starts, k from 2 to 7; ten passes, 2 to 10 topics.
+_STARTS, _ELBOW, _PASSES, _TOPICS = 10, list(range(2, 8)), 10, list(range(2, 11))
+
+
 def embedding_vectors(t):
     return FT.array_vectors(t.embeddings, "embedding").select("vec_id", "features").persist()
 
@@ -72,13 +76,13 @@ def embedding_vectors(t):
 @query("kmeans_fit")
 def kmeans_fit(t):
     data = embedding_vectors(t)
-    model, _ = C.kmeans_fit(data, 5, n_init=3)
+    model, _ = C.kmeans_fit(data, 5, n_init=_STARTS)
     return model.transform(data).select("vec_id", "cluster_id")
 
 
 @query("kmeans_elbow")
 def kmeans_elbow(t):
-    return C.kmeans_elbow(embedding_vectors(t), [2, 3, 4], n_init=2)[0]
+    return C.kmeans_elbow(embedding_vectors(t), _ELBOW, n_init=_STARTS)[0]
 
 
 # --- topics: given mixes are exact, learnt ones are not ---------------------------------------------
@@ -99,20 +103,20 @@ def document_vectors(t):
 @query("lda_fit")
 def lda_fit(t):
     fitted, vectors = document_vectors(t)
-    model = TP.lda_fit(vectors, 4, passes=5)
+    model = TP.lda_fit(vectors, 4, passes=_PASSES)
     return TP.topic_words(model, V.number_terms(fitted.vocab), 20)
 
 
 @query("lda_doc_topics")
 def lda_doc_topics(t):
     _, vectors = document_vectors(t)
-    return TP.topic_mix(TP.lda_fit(vectors, 3, passes=5), vectors).drop("features", "topic_mix")
+    return TP.topic_mix(TP.lda_fit(vectors, 3, passes=_PASSES), vectors).drop("features", "topic_mix")
 
 
 @query("lda_topic_words")
 def lda_topic_words(t):
     fitted, vectors = document_vectors(t)
-    model = TP.lda_fit(vectors, 3, passes=5)
+    model = TP.lda_fit(vectors, 3, passes=_PASSES)
     return TP.topic_report(TP.topic_words(model, V.number_terms(fitted.vocab)), TP.topic_mix(model, vectors))
 
 
@@ -120,7 +124,7 @@ def lda_topic_words(t):
 def lda_coherence_curve(t):
     fitted, vectors = document_vectors(t)
     texts = materialize(V.presence_texts(fitted.fitted(), "doc_id"), "texts")
-    return TP.coherence_curve(vectors, V.number_terms(fitted.vocab), texts, [2, 3], "c_v", passes=3)
+    return TP.coherence_curve(vectors, V.number_terms(fitted.vocab), texts, _TOPICS, "c_v", passes=_PASSES)
 
 
 # --- coherence of given topics: the 20 heaviest words of each language ------------------------------

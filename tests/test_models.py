@@ -176,3 +176,45 @@ def test_bayes_on_codes_or_numbers_refuses_text(spark, kind):
     job = config("NaiveBayes", nb=kind, drop_features=["reviewId"])
     with pytest.raises(ValueError, match="text"):
         training.split_and_train(job, reviews(spark), "k", "score")
+
+
+def test_queries_run_the_shipped_grids(spark, monkeypatch):
+    """What the learned queries hand to the operators, against the reference's config_file.json."""
+    from types import SimpleNamespace
+
+    from opinara.queries import grouping as grouped
+    from opinara.queries import learning
+
+    seen = []
+    monkeypatch.setattr(learning, "grid", lambda t, trials: trials(None))
+    monkeypatch.setattr(learning.M, "trial_log", lambda trials, name: trials)
+    bounded = {(min(d, learners.DEPTH_LIMIT), c) for d in range(1, 41) for c in ("gini", "entropy")}
+    for made, trees in ((learning.tree_grid(None), None), (learning.forest_grid(None), 200)):
+        assert {(x.params["max_depth"], x.params["criterion"]) for x in made} == bounded and len(made) == len(bounded)
+        assert {x.params.get("n_estimators") for x in made} == {trees}
+    assert [x.params["n_estimators"] for x in learning.random_forest(None)] == [200]
+
+    def note(name, out):
+        def call(*args, **options):
+            seen.append((name, [a for a in args if isinstance(a, list)], options))
+            return out
+        return call
+    frame = spark.range(1)
+    model = SimpleNamespace(transform=lambda data: spark.createDataFrame([(1, 0)], "vec_id long, cluster_id int"))
+    monkeypatch.setattr(grouped, "embedding_vectors", lambda t: frame)
+    monkeypatch.setattr(grouped, "document_vectors", lambda t: (SimpleNamespace(vocab=None, fitted=lambda: None), frame))
+    monkeypatch.setattr(grouped, "materialize", lambda df, name: df)
+    monkeypatch.setattr(grouped.V, "number_terms", lambda v: None)
+    monkeypatch.setattr(grouped.V, "presence_texts", lambda *a: None)
+    monkeypatch.setattr(grouped.C, "kmeans_fit", note("fit", (model, 0.0)))
+    monkeypatch.setattr(grouped.C, "kmeans_elbow", note("elbow", (frame, {})))
+    monkeypatch.setattr(grouped.TP, "lda_fit", note("lda", None))
+    monkeypatch.setattr(grouped.TP, "coherence_curve", note("curve", frame))
+    for name in ("topic_words", "topic_mix", "topic_report"):
+        monkeypatch.setattr(grouped.TP, name, lambda *a: frame)
+    for run in (grouped.kmeans_fit, grouped.kmeans_elbow, grouped.lda_fit, grouped.lda_doc_topics,
+                grouped.lda_topic_words, grouped.lda_coherence_curve):
+        run(None)
+    assert [(n, o) for n, _, o in seen] == [("fit", {"n_init": 10}), ("elbow", {"n_init": 10}), *[("lda", {"passes": 10})] * 3,
+                                            ("curve", {"passes": 10})]
+    assert seen[1][1] == [list(range(2, 8))] and seen[-1][1] == [list(range(2, 11))]
