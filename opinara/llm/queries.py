@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinara.llm import bpe, crf_langid, exact_dedup, gru_lm, line_dedup, mixing, quality_rules, simhash, toxicity, url_filters
+from opinara.llm import (alignment, bpe, crf_langid, exact_dedup, gru_lm, line_dedup, mixing, quality_rules, simhash, toxicity,
+                         url_filters, whitening)
 from opinara.llm.common import fold, read_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -147,3 +148,15 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     found = line_dedup.fuzzy_lines(read_documents(spark, folder))
     return found.select(F.col("id").alias("doc_id"), "n_lines", "n_kept", "dropped")
+
+
+@query("op12_whitening")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten_report(read_documents(spark, folder, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+@query("op13_alignment")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    aligned = alignment.align(read_documents(spark, folder), public_tokenizers.path("byte_bpe_50k.json"),
+                              public_tokenizers.path("piece_bpe_32k.model"))
+    return aligned.withColumnRenamed("id", "doc_id")
