@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinara.llm import (alignment, bpe, crf_langid, exact_dedup, gru_lm, line_dedup, mixing, quality_rules, simhash, toxicity,
-                         url_filters, whitening)
+from opinara.llm import (alignment, bpe, crf_langid, exact_dedup, gru_lm, line_dedup, mixing, quality, quality_rules, simhash,
+                         toxicity, url_filters, whitening)
 from opinara.llm.common import fold, read_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -160,3 +160,12 @@ def op13(spark: SparkSession, folder: str) -> DataFrame:
     aligned = alignment.align(read_documents(spark, folder), public_tokenizers.path("byte_bpe_50k.json"),
                               public_tokenizers.path("piece_bpe_32k.model"))
     return aligned.withColumnRenamed("id", "doc_id")
+
+
+@query("op11_quality")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_documents(spark, folder)
+    model = quality.fit(docs, read_documents(spark, folder, "labels"), trainable=fold("id", 4) != 2)
+    scored = quality.score_documents(docs, model).withColumnRenamed("id", "doc_id")
+    return scored.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score",
+                         (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
