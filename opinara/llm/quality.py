@@ -12,8 +12,10 @@ from __future__ import annotations
 
 import math
 import pickle
+from collections import defaultdict
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from itertools import chain, count, islice
 
 import numpy as np
 import pandas as pd
@@ -30,7 +32,8 @@ from opinara.llm.gru import Adam, sigmoid
 from opinara.session import materialize
 
 #: Entries of an index vector, signs drawn for a feature of a word, words of context on each side, near words compared.
-WIDTH, SIGNS, REACH, LAGS = 64, 4, 2, 3
+WIDTH, SIGNS, REACH, LAGS = 32, 4, 2, 3
+GAP = max(REACH, LAGS)
 #: The bound of the training sample (documents by label) and of the table of words with context vectors.
 SAMPLE_ROWS, TABLE_WORDS, TABLE_DOCUMENTS = {0: 3000, 1: 5000}, 32_768, 3
 HIDDEN, UPDATES, BATCH, RATE, DECAY, SEED = 16, 600, 256, 0.01, 1e-3, 42
@@ -38,61 +41,83 @@ HIDDEN, UPDATES, BATCH, RATE, DECAY, SEED = 16, 600, 256, 0.01, 1e-3, 42
 CALIBRATED, TEMPERATURES = 5, (0.25, 8.0)
 THRESHOLD = 0.7
 #: Words of which a task remembers the index vector, words gathered before they are pooled, places pooled at once.
-REMEMBERED, WORDS_AT_ONCE, PLACES_AT_ONCE = 300_000, 300_000, 50_000
+REMEMBERED, WORDS_AT_ONCE, PLACES_AT_ONCE = 200_000, 300_000, 20_000
 #: Words in a block of context sums.
 BLOCK = 256
 FEATURES = 2 * WIDTH + LAGS + 2
 _EDGES = ".,;:!?\"'()[]{}<>*#$%&|-_~`/\\+=@^"
 
 
-def _shape(core: str) -> str:
-    return "upper" if core.isupper() and len(core) > 1 else "title" if core[:1].isupper() else "digit" if core.isdigit() else "lower"
-
-
-def features_of(word: str) -> tuple[str, str, str, str]:
-    """What a word's index vector is drawn from: letters, marks in front, marks behind, case."""
-    bare = word.lstrip(_EDGES)
-    core = bare.rstrip(_EDGES)
-    return f"w{core.lower()}", f"f{word[:len(word) - len(bare)]}", f"b{bare[len(core):]}", f"c{_shape(core)}"
-
-
-def index_vectors(words: Sequence[str]) -> np.ndarray:
-    """One whole-numbered row of ``WIDTH`` per word."""
-    draw = xxhash.xxh64_intdigest
-    drawn = np.array([[draw(f, SEED) for f in features_of(w)] for w in words], np.uint64).reshape(-1)
-    table = np.zeros((len(words), WIDTH), np.int32)
-    owner = np.repeat(np.arange(len(words)), len(drawn) // max(len(words), 1))
+def parts_of(word: str) -> tuple[str, tuple[str, str, str]]:
+    """What a word's index vector is drawn from: its letters; marks in front, marks behind and case."""
+    if word.isalpha():
+        front, core, back = "", word, ""
+    else:
+        bare = word.lstrip(_EDGES)
+        core = bare.rstrip(_EDGES)
+        front, back = word[:len(word) - len(bare)], bare[len(core):]
+    if core.islower():
+        return core, (front, back, "lower")
+    case = "upper" if core.isupper() and len(core) > 1 else "title" if core[:1].isupper() else "digit" if core.isdigit() else "lower"
+    return core.lower(), (front, back, case)
+
+
+def signs(features: Sequence[str]) -> np.ndarray:
+    """A row of ``WIDTH`` entries per feature, ``SIGNS`` times a one with a sign added at places drawn by hash."""
+    drawn = np.fromiter((xxhash.xxh64_intdigest(f, SEED) for f in features), np.uint64, len(features))
+    table = np.zeros(len(features) * WIDTH, np.float32)
     bits = int(math.log2(WIDTH)) + 1
     for i in range(SIGNS):
         part = (drawn >> np.uint64(bits * i)).astype(np.int64)
-        place, sign = part & (WIDTH - 1), 1 - 2 * ((part >> (bits - 1)) & 1)
-        np.add.at(table, (owner, place), sign)
-    return table
+        np.add.at(table, np.arange(len(features)) * WIDTH + (part & (WIDTH - 1)),
+                  (1 - 2 * ((part >> (bits - 1)) & 1)).astype(np.float32))
+    return table.reshape(-1, WIDTH)
+
+
+def index_vectors(words: Sequence[str]) -> np.ndarray:
+    """One row of ``WIDTH`` whole numbers per word: the signs of its letters, marks and case added up."""
+    parts = [parts_of(w) for w in words]
+    shapes: dict = defaultdict(count().__next__)
+    places = np.fromiter((shapes[p[1]] for p in parts), np.int64, len(parts))
+    named = [signs([mark + s[i] for s in shapes]) for i, mark in enumerate("fbc")]
+    return signs(["w" + p[0] for p in parts]) + sum(named[1:], named[0])[places]
 
 
 class Words:
-    """Numbers and index vectors of the words a task has met; forgets them when they are too many."""
+    """Numbers and index vectors of the words a task has met; forgets them when they are too many.
+
+    ``vectors`` and ``units`` (of length one) have a row per number, ``rows`` says the place in the table, or -1. Number 0 is no
+    word: it stands ``GAP`` times behind each text, has zero vectors, and keeps texts apart.
+    """
 
     def __init__(self, known: dict[str, int] | None = None):
         self.known = known or {}
         self.forget()
 
     def forget(self) -> None:
-        self.codes: dict[str, int] = {}
-        self.vectors = np.zeros((0, WIDTH), np.int32)
-        self.rows = np.zeros(0, np.int64)
+        self.codes = defaultdict(count(1).__next__, {None: 0})
+        self.vectors = np.zeros((1, WIDTH + 1), np.float32)
+        self.units = np.zeros((1, WIDTH), np.float32)
+        self.rows = np.full(1, -1)
 
-    def flat(self, texts: list[list[str]]) -> np.ndarray:
-        """The numbers of all words of the texts; ``vectors`` and ``rows`` (place in the table, or -1) cover them."""
+    def flat(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of all words of the texts with the gaps behind them, and where each text starts."""
         if len(self.codes) > REMEMBERED:
             self.forget()
-        codes, n = self.codes, len(self.codes)
-        flat = np.array([codes.setdefault(w, len(codes)) for t in texts for w in t], np.int64)
-        if len(codes) > n:
-            new = list(codes)[n:]
-            self.vectors = np.concatenate((self.vectors, index_vectors(new)))
-            self.rows = np.concatenate((self.rows, np.array([self.known.get(w, -1) for w in new], np.int64)))
-        return flat
+        n = len(self.codes)
+        gap = [None] * GAP
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + GAP
+        words = chain.from_iterable(chain(t, gap) for t in texts)
+        flat = np.fromiter(map(self.codes.__getitem__, words), np.int64, int(sizes.sum()))
+        if len(self.codes) > n:
+            new = list(islice(self.codes, n, None))
+            vectors = index_vectors(new)
+            units = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
+            # The last entry counts words.
+            self.vectors = np.concatenate((self.vectors, np.column_stack((vectors, np.ones(len(new), np.float32)))))
+            self.units = np.concatenate((self.units, units))
+            self.rows = np.concatenate((self.rows, np.fromiter((self.known.get(w, -1) for w in new), np.int64, len(new))))
+        return flat, np.cumsum(sizes) - sizes
 
 
 def _grouped(texts: Iterator[str]) -> Iterator[list[list[str]]]:
@@ -100,8 +125,8 @@ def _grouped(texts: Iterator[str]) -> Iterator[list[list[str]]]:
     group, words = [], 0
     for text in texts:
         group.append(text.split())
-        words += len(group[-1])
-        if words > WORDS_AT_ONCE or len(group) > WORDS_AT_ONCE // 10:
+        words += len(group[-1]) + GAP
+        if words > WORDS_AT_ONCE:
             yield group
             group, words = [], 0
     if group:
@@ -110,27 +135,26 @@ def _grouped(texts: Iterator[str]) -> Iterator[list[list[str]]]:
 
 def add_contexts(sums: np.ndarray, words: Words, texts: list[list[str]]) -> None:
     """Add to ``sums`` (a row per table word, and a last one for all words) index vectors around each place and their number."""
-    flat = words.flat(texts)
-    doc = np.repeat(np.arange(len(texts)), list(map(len, texts)))
-    rows = words.rows[flat]
+    flat, _ = words.flat(texts)
     for at in range(0, len(flat), PLACES_AT_ONCE):
-        low, high = max(at - REACH, 0), min(at + PLACES_AT_ONCE + REACH, len(flat))
-        index, of = words.vectors[flat[low:high]], doc[low:high]
-        around = np.zeros((high - low, WIDTH + 1), np.int32)
-        for lag in range(1, REACH + 1):
-            same = (of[lag:] == of[:-lag])[:, None]
-            around[lag:, :WIDTH] += index[:-lag] * same
-            around[:-lag, :WIDTH] += index[lag:] * same
-            around[lag:, WIDTH:] += same
-            around[:-lag, WIDTH:] += same
         end = min(at + PLACES_AT_ONCE, len(flat))
-        around, row = around[at - low:end - low], rows[at:end]
-        sums[-1] += around.sum(axis=0, dtype=np.int64)
+        codes = np.zeros(end - at + 2 * REACH, np.int64)
+        low, high = max(at - REACH, 0), min(end + REACH, len(flat))
+        codes[low - at + REACH:high - at + REACH] = flat[low:high]
+        index, n = words.vectors[codes], end - at
+        around = index[:n].copy()
+        for shift in range(1, 2 * REACH + 1):
+            if shift != REACH:
+                around += index[shift:shift + n]
+        codes = codes[REACH:REACH + n]
+        # All entries are whole and small, so these sums are exact in any order.
+        sums[-1] += around[codes > 0].sum(axis=0, dtype=np.float64).astype(np.int64)
+        row = words.rows[codes]
         in_table = np.flatnonzero(row >= 0)
         if len(in_table):
             order = in_table[np.argsort(row[in_table], kind="stable")]
             found, first = np.unique(row[order], return_index=True)
-            sums[found] += np.add.reduceat(around[order].astype(np.int64), first, axis=0)
+            sums[found] += np.add.reduceat(around[order], first, axis=0).astype(np.int64)
 
 
 def context_table(sums: np.ndarray) -> np.ndarray:
@@ -142,26 +166,24 @@ def context_table(sums: np.ndarray) -> np.ndarray:
 
 def pooled(words: Words, contexts: np.ndarray, texts: list[list[str]]) -> np.ndarray:
     """``FEATURES`` per text; zeros for one without words."""
-    flat = words.flat(texts)
-    sizes = np.array(list(map(len, texts)), np.int64)
-    doc = np.repeat(np.arange(len(texts)), sizes)
-    unit = (words.vectors / np.maximum(np.linalg.norm(words.vectors, axis=1, keepdims=True), 1e-9)).astype(np.float32)
+    flat, starts = words.flat(texts)
     padded = np.concatenate((contexts, np.zeros((1, WIDTH), np.float32)))
     total = np.zeros((len(texts), FEATURES))
     for at in range(0, len(flat), PLACES_AT_ONCE):
-        end = min(at + PLACES_AT_ONCE, len(flat))
-        reach = min(end + LAGS, len(flat))
-        index, of, row = unit[flat[at:reach]], doc[at:reach], words.rows[flat[at:end]]
-        part = np.zeros((end - at, FEATURES), np.float32)
-        part[:, :WIDTH] = index[:end - at]
+        n = min(PLACES_AT_ONCE, len(flat) - at)
+        codes = flat[at:at + n + LAGS]
+        index, row = words.units[codes], words.rows[codes[:n]]
+        part = np.zeros((n, FEATURES), np.float32)
+        part[:, :WIDTH] = index[:n]
         part[:, WIDTH:2 * WIDTH] = padded[row]
         for lag in range(1, LAGS + 1):
-            n = min(end - at, reach - at - lag)
-            if n > 0:
-                part[:n, 2 * WIDTH + lag - 1] = np.einsum("ij,ij->i", index[:n], index[lag:lag + n]) * (of[:n] == of[lag:lag + n])
+            m = min(n, len(codes) - lag)
+            part[:m, 2 * WIDTH + lag - 1] = np.einsum("ij,ij->i", index[:m], index[lag:lag + m])
         part[:, -2] = row >= 0
-        found, first = np.unique(of[:end - at], return_index=True)
-        total[found] += np.add.reduceat(part, first, axis=0, dtype=np.float64)
+        first = np.searchsorted(starts, at, side="right") - 1
+        here = starts[first:np.searchsorted(starts, at + n)]
+        total[first:first + len(here)] += np.add.reduceat(part, np.maximum(here - at, 0), axis=0)
+    sizes = np.diff(np.append(starts, len(flat))) - GAP
     total /= np.maximum(sizes, 1)[:, None]
     total[:, -1] = np.log1p(sizes)
     return total
@@ -273,7 +295,7 @@ def context_sums(docs: DataFrame, words: list[str], text_column: str) -> np.ndar
                                               pa.array([zstandard.compress(data.tobytes(), 3)], pa.binary())],
                                              ["block", "salt", "data"])
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, seen = np.zeros((n + 1, WIDTH + 1), np.int64), Words(shared.value)
         for group in _grouped(text.as_py() for batch in batches for text in batch.column(0)):
             add_contexts(sums, seen, group)
@@ -288,7 +310,7 @@ def context_sums(docs: DataFrame, words: list[str], text_column: str) -> np.ndar
                 blocks[b] = blocks[b] + part if b in blocks else part
         yield from rows(blocks, 0)
 
-    parts = texts.mapInArrow(count, schema).repartition("block", "salt").mapInArrow(add, schema)
+    parts = texts.mapInArrow(gather, schema).repartition("block", "salt").mapInArrow(add, schema)
     found = np.zeros((n + 1, WIDTH + 1), np.int64)
     # At most TABLE_WORDS + 1 rows reach the driver.
     for row in parts.repartition("block").mapInArrow(add, schema).collect():
