@@ -14,11 +14,13 @@ its distinct pairs once to a grouped sum and gets the sums back.
 from __future__ import annotations
 
 import hashlib
-import os
+import json
 import pickle
 import re
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain, count, islice
 from typing import NamedTuple
 
 import numpy as np
@@ -36,9 +38,15 @@ from opinara.session import materialize
 PIECE_CHARS, RANGE_BYTES, FAN = 65_536, 16_384, 8
 #: Characters encoded and links collected at once in a task.
 CHARS_AT_ONCE, LINKS_AT_ONCE = 400_000, 2_000_000
+#: Words whose ids a task remembers.
+REMEMBERED = 200_000
+#: How a byte-level BPE of this kind splits a text before its merges; fixed value.
+_WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: A space between two visible characters: pre-tokens of a byte-level BPE and pieces that hold U+2581 only in front
 #: both start here, so the texts on its sides are encoded independently.
 _CUT = re.compile(r"(?<=[\w!-~]) (?=[\w!-~])")
+_PLAIN = re.compile(r"(?s)[\w!-~](?:.*[\w!-~])?")
+NONE = np.zeros(0, np.int64)
 
 
 def _byte_of_character() -> dict[str, int]:
@@ -49,20 +57,29 @@ def _byte_of_character() -> dict[str, int]:
 
 
 class Encoders:
-    """Tokenizer A (byte-level BPE, space in front of the text) and B (pieces, which adds that space itself)."""
+    """Tokenizer A (byte-level BPE, space in front of the text) and B (pieces, which adds that space itself).
+
+    A is read from its file as byte ranks. That is the same encoding as by its
+    merges exactly when merge number i makes the i-th id after the bytes, which is checked.
+    """
 
     def __init__(self, byte_path: str, piece_path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
-        from tokenizers import Tokenizer
+        import tiktoken
 
-        self.a = Tokenizer.from_file(byte_path)
-        self.a.encode_special_tokens = True
+        with open(byte_path, encoding="utf-8") as file:
+            shown = json.load(file)["model"]
+        vocabulary, merges = shown["vocab"], [m.split(" ") if isinstance(m, str) else m for m in shown["merges"]]
+        if [vocabulary["".join(m)] for m in merges] != list(range(256, 256 + len(merges))):
+            raise ValueError("tokenizer A needs a vocabulary in the order of its merges")
         self.b = sentencepiece.SentencePieceProcessor(model_file=piece_path)
         byte_of = _byte_of_character()
-        self.a_bytes = [b""] * self.a.get_vocab_size()
-        for token, number in self.a.get_vocab().items():
-            self.a_bytes[number] = bytes(byte_of[c] for c in token) if all(c in byte_of for c in token) else token.encode()
+        ranks = {bytes(byte_of[c] for c in token): number for token, number in vocabulary.items()
+                 if all(c in byte_of for c in token) and number < 256 + len(merges)}
+        self.a = tiktoken.Encoding("a", pat_str=_WORDS, mergeable_ranks=ranks, special_tokens={})
+        self.a_bytes = [b""] * (256 + len(merges))
+        for token, number in ranks.items():
+            self.a_bytes[number] = token
         pieces = map(self.b.id_to_piece, range(self.b.get_piece_size()))
         self.b_bytes = [bytes([int(p[3:5], 16)]) if re.fullmatch("<0x[0-9A-F]{2}>", p) else p.replace("▁", " ").encode()
                         for p in pieces]
@@ -71,17 +88,77 @@ class Encoders:
         self.shown = [np.array([f"{i}," for i in range(len(table))] + [f"{i}{end}" for i in range(len(table))], object)
                       for table, end in ((self.a_bytes, "|"), (self.b_bytes, ";"))]
 
+        self.forget()
+
+    def forget(self) -> None:
+        self.numbers: dict[str, int] = defaultdict(count().__next__)
+        self.unlike: set[int] = set()
+        self.known = [_Lists(), _Lists()]
+
+    def _a_ids(self, text: str) -> list[int] | None:
+        ids = self.a.encode_ordinary(" " + text)
+        return ids if b"".join(map(self.a_bytes.__getitem__, ids)) == (" " + text).encode() else None
+
+    def _learn(self, words: list[str], first: int) -> None:
+        """Encode words not met before, numbered from ``first``. Those that may stand side by side go through A in one text."""
+        plain = [w for w in words if _PLAIN.fullmatch(w)]
+        ids = self._a_ids(" ".join(plain)) if plain else []
+        found: dict[str, list[int]] = {}
+        if ids:
+            ends = np.cumsum(self.lengths[0][ids])
+            word_ends = np.cumsum([len(w.encode()) + 1 for w in plain])
+            places = np.searchsorted(ends, word_ends)
+            if np.array_equal(ends[places], word_ends):
+                places = [0, *(places + 1).tolist()]
+                found = {w: ids[i:j] for w, i, j in zip(plain, places, places[1:])}
+        a_lists, b_lists = [], []
+        for number, (word, b) in enumerate(zip(words, self.b.encode(words, num_threads=1)), first):
+            a = found.get(word) or self._a_ids(word)
+            if a is None or b"".join(map(self.b_bytes.__getitem__, b)) != (" " + word).encode():
+                self.unlike.add(number)
+                a = b = []
+            a_lists.append(a)
+            b_lists.append(b)
+        for known, lists in zip(self.known, (a_lists, b_lists)):
+            known.extend(lists)
+
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
-        """Token ids of both for each text; None where the bytes of either differ from space and text."""
-        whole = [" " + t for t in texts]
-        found = []
-        for text, a, b in zip(whole, self.a.encode_batch(whole, add_special_tokens=False),
-                              self.b.encode(texts, num_threads=1)):
-            a, data = a.ids, text.encode()
-            same = (b"".join(map(self.a_bytes.__getitem__, a)) == data
-                    and b"".join(map(self.b_bytes.__getitem__, b)) == data)
-            found.append((np.array(a, np.int64), np.array(b, np.int64)) if same else None)
-        return found
+        """Token ids of both for each text; None where the bytes of either differ from space and text.
+
+        A text is cut into words wherever both tokenizers start anew, and a word is encoded once.
+        """
+        if len(self.numbers) > REMEMBERED:
+            self.forget()
+        split, n = [_CUT.split(t) for t in texts], len(self.numbers)
+        sizes = np.fromiter(map(len, split), np.int64, len(split))
+        flat = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(split)), np.int64, int(sizes.sum()))
+        if len(self.numbers) > n:
+            self._learn(list(islice(self.numbers, n, None)), n)
+        bounds = np.cumsum(sizes)[:-1]
+        a, b = ([known.of(part) for part in np.split(flat, bounds)] for known in self.known)
+        if not self.unlike:
+            return list(zip(a, b))
+        bad = np.isin(flat, list(self.unlike))
+        return [None if part.any() else pair for part, pair in zip(np.split(bad, bounds), zip(a, b))]
+
+
+class _Lists:
+    """Short lists of ids by number, laid end to end."""
+
+    def __init__(self):
+        self.ids, self.starts, self.sizes = NONE, NONE, NONE
+
+    def extend(self, lists: list[list[int]]) -> None:
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        self.starts = np.concatenate((self.starts, len(self.ids) + np.cumsum(sizes) - sizes))
+        self.sizes = np.concatenate((self.sizes, sizes))
+        self.ids = np.concatenate((self.ids, np.fromiter(chain.from_iterable(lists), np.int64, int(sizes.sum()))))
+
+    def of(self, numbers: np.ndarray) -> np.ndarray:
+        """The lists of these numbers, one after the other."""
+        sizes = self.sizes[numbers]
+        shift = self.starts[numbers] - (np.cumsum(sizes) - sizes)
+        return self.ids[np.repeat(shift, sizes) + np.arange(int(sizes.sum()))]
 
 
 @lru_cache(maxsize=2)
@@ -108,7 +185,6 @@ class Fragment(NamedTuple):
     n_b: int
 
 
-NONE = np.zeros(0, np.int64)
 IDENTITY = Fragment(False, NONE, NONE, "", NONE, NONE, NONE, 0, 0)
 
 
