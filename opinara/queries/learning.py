@@ -12,10 +12,11 @@ from opinara.operators import metrics as M
 from opinara.operators import neighbors as NN
 from opinara.operators import numeric as N
 from opinara.operators import sampling as SM
+from opinara.operators import sparse_neighbors as SN
 from opinara.operators import vectorize as V
 from opinara.queries.registry import query
 from opinara.queries.relational import prf_sql, rounded
-from opinara.queries.sqltext import count_ctes, split_ctes, tfidf_ctes, token_ctes
+from opinara.queries.sqltext import count_ctes, draw, split_ctes, tfidf_ctes, token_ctes
 from opinara.session import materialize, scratch_path
 
 # --- nearest neighbours over the embedding table -------------------------------------------------
@@ -211,10 +212,10 @@ WITH {_LIS}, tr AS (SELECT * FROM sp WHERE part = 'train'),
 eps AS (SELECT 1e-9::DOUBLE * greatest({", ".join(f"var_pop({c})" for c in _NUM)}) e FROM tr),
 st AS (SELECT l_returnflag c, ln(count(*)::DOUBLE / (SELECT count(*) FROM tr)) prior, {", ".join(f"avg({c}) m_{c}, var_pop({c}) + any_value(e) v_{c}" for c in _NUM)} FROM tr, eps GROUP BY 1),
 sc AS (SELECT k, c, prior + {" + ".join(f"(-0.5::DOUBLE * ln(2 * pi() * v_{c}) - ({c} - m_{c}) * ({c} - m_{c}) / (2 * v_{c}))" for c in _NUM)} s FROM sp, st WHERE part = 'dev')
-SELECT prediction, count(*) AS n FROM (SELECT k, c prediction, row_number() OVER (PARTITION BY k ORDER BY s DESC, c) r FROM sc) WHERE r = 1 GROUP BY 1""")
+SELECT k, prediction FROM (SELECT k, c prediction, row_number() OVER (PARTITION BY k ORDER BY s DESC, c) r FROM sc) WHERE r = 1""")
 def nb_gaussian(t):
     train, dev = numeric_parts(t)
-    return B.fit_gaussian(train, _NUM, "l_returnflag").predict(dev).groupBy("prediction").agg(F.count("*").alias("n"))
+    return B.fit_gaussian(train, _NUM, "l_returnflag").predict(dev).select("k", "prediction")
 
 
 @query("nb_categorical", f"""
@@ -227,13 +228,120 @@ sz AS (SELECT f, max(b) + 1 s FROM un WHERE part = 'train' GROUP BY 1),
 ct AS (SELECT l_returnflag c, f, b, count(*) m FROM un WHERE part = 'train' GROUP BY 1, 2, 3),
 sc AS (SELECT k, nc.c, ln(any_value(nc.n)::DOUBLE / (SELECT count(*) FROM tr)) + sum(ln(coalesce(m, 0) + 1.0::DOUBLE) - ln(nc.n + 1.0::DOUBLE * s)) v
        FROM (SELECT * FROM un WHERE part = 'dev') u CROSS JOIN nc JOIN sz USING (f) LEFT JOIN ct ON ct.c = nc.c AND ct.f = u.f AND ct.b = u.b GROUP BY 1, 2)
-SELECT prediction, count(*) AS n FROM (SELECT k, c prediction, row_number() OVER (PARTITION BY k ORDER BY v DESC, c) r FROM sc) WHERE r = 1 GROUP BY 1""")
+SELECT k, prediction FROM (SELECT k, c prediction, row_number() OVER (PARTITION BY k ORDER BY v DESC, c) r FROM sc) WHERE r = 1""")
 def nb_categorical(t):
     train, dev = numeric_parts(t)
     bins = N.fit_discretize(train, _NUM, 5)
     codes = [f"{c}_disc" for c in _NUM]
     model = B.fit_categorical(bins.transform(train), codes, "l_returnflag")
-    return model.predict(bins.transform(dev)).groupBy("prediction").agg(F.count("*").alias("n"))
+    return model.predict(bins.transform(dev)).select("k", "prediction")
+
+
+# --- the same over text: every term a feature, zeros implied ---------------------------------------
+
+_ALL = """
+lab AS (SELECT doc_id, quality, part FROM cl),
+cls AS (SELECT quality c, count(*) n, ln(count(*)::DOUBLE / sum(count(*)) OVER ()) prior FROM lab WHERE part = 'train' GROUP BY 1),
+x AS (SELECT lab.doc_id, lab.quality, lab.part, voc.term, coalesce(v.weight, 0) x FROM lab CROSS JOIN voc
+      LEFT JOIN val v ON v.doc_id = lab.doc_id AND v.term = voc.term)""".strip()
+
+
+@query("nb_gaussian_text", f"""
+WITH {_TOK}, {_TFIDF}, val AS (SELECT doc_id, term, weight FROM w), {_ALL},
+eps AS (SELECT 1e-9::DOUBLE * max(v) e FROM (SELECT var_pop(x) v FROM x WHERE part = 'train' GROUP BY term)),
+st AS (SELECT term, quality c, avg(x) m, var_pop(x) + any_value(e) v FROM x, eps WHERE part = 'train' GROUP BY 1, 2),
+sc AS (SELECT doc_id, quality, cls.c, any_value(prior) + sum(-0.5::DOUBLE * ln(2 * pi() * v) - (x - m) * (x - m) / (2 * v)) s
+       FROM x JOIN st USING (term) JOIN cls ON cls.c = st.c WHERE part = 'dev' GROUP BY 1, 2, 3)
+SELECT doc_id, quality AS real, c AS prediction FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY s DESC, c) r FROM sc) WHERE r = 1""")
+def nb_gaussian_text(t):
+    train, dev = labelled_docs(t)
+    vectors = V.fit_text(train, "doc_id", tokens())
+    model = B.fit_long_gaussian(train, vectors.fitted(), "doc_id", "quality")
+    return model.predict(dev, vectors.transform(dev, tokens())).join(dev, "doc_id").select(
+        "doc_id", F.col("quality").alias("real"), "prediction")
+
+
+_CODE_ALPHAS = [0.1, 1.0]
+
+
+@query("nb_categorical_text", f"""
+WITH {_TOK}, {count_ctes(min_df=3, fit="part = 'train'")}, val AS (SELECT doc_id, term, tf weight FROM tf JOIN voc USING (term)), {_ALL},
+sz AS (SELECT term, max(x) + 1 s FROM x WHERE part = 'train' GROUP BY 1),
+ct AS (SELECT term, quality c, x, count(*) m FROM x WHERE part = 'train' GROUP BY 1, 2, 3),
+al AS (SELECT unnest([{", ".join(f"{a}::DOUBLE" for a in _CODE_ALPHAS)}]) alpha),
+sc AS (SELECT alpha, u.doc_id, u.quality, cls.c, any_value(prior) + sum(ln(coalesce(m, 0) + alpha) - ln(n + alpha * s)) v
+       FROM (SELECT * FROM x WHERE part = 'dev') u CROSS JOIN cls CROSS JOIN al JOIN sz USING (term)
+       LEFT JOIN ct ON ct.c = cls.c AND ct.term = u.term AND ct.x = u.x GROUP BY 1, 2, 3, 4)
+SELECT alpha, doc_id, quality AS real, c AS prediction FROM (SELECT *, row_number() OVER (PARTITION BY alpha, doc_id ORDER BY v DESC, c) r FROM sc) WHERE r = 1""")
+def nb_categorical_text(t):
+    train, dev = labelled_docs(t)
+    vectors = V.fit_text(train, "doc_id", tokens(), "frequency", min_df=3)
+    model = B.fit_long_categorical(train, vectors.fitted(), "doc_id", "quality")
+    return model.predict(dev, vectors.transform(dev, tokens()), _CODE_ALPHAS).join(dev, "doc_id").select(
+        "alpha", "doc_id", F.col("quality").alias("real"), "prediction")
+
+
+# --- neighbours and oversampling over text, one to two words a term ---------------------------------
+
+
+def _pairs_sql(p: int, a: str, b: str) -> str:
+    """CTE ``gp{p}``: sums of |x - y|^p, to nine decimals, of rows of ``sz`` under conditions on both."""
+    like = "a.weight * b.weight" if p == 2 else "least(a.weight, b.weight)"
+    return f"""sh{p} AS (SELECT a.doc_id, b.doc_id nb, sum({like}) s FROM wq a JOIN wq b USING (term) WHERE {a} AND {b} GROUP BY 1, 2),
+gp{p} AS (SELECT a.doc_id, b.doc_id nb, b.quality, {p} p, round(greatest(a.n{p} + b.n{p} - 2 * coalesce(s, 0), 0), 9) gap
+          FROM sz a JOIN sz b ON {a} AND {b} LEFT JOIN sh{p} ON sh{p}.doc_id = a.doc_id AND sh{p}.nb = b.doc_id)"""
+
+
+_GRAMS = (f"{_TOK}, " + "{counts}" + f""",
+{tfidf_ctes()},
+wq AS (SELECT w.*, cl.part, cl.quality FROM w JOIN cl USING (doc_id)),
+sz AS (SELECT cl.doc_id, part, quality, coalesce(sum(weight), 0) n1, coalesce(sum(weight * weight), 0) n2 FROM cl LEFT JOIN w USING (doc_id) GROUP BY 1, 2, 3)""")
+_NEAR_TEXT = 5
+
+
+@query("knn_text", f"""
+WITH {_GRAMS.replace("{counts}", count_ctes(min_df=3, bigrams=True, fit="part = 'train'"))},
+{_pairs_sql(1, "a.part = 'dev'", "b.part = 'train'")}, {_pairs_sql(2, "a.part = 'dev'", "b.part = 'train'")},
+rk AS (SELECT *, row_number() OVER (PARTITION BY p, doc_id ORDER BY gap, nb) r FROM (SELECT * FROM gp1 UNION ALL SELECT * FROM gp2))
+SELECT p, doc_id, nb AS neighbor, quality, CAST(r AS INTEGER) AS rank, round(CASE WHEN p = 2 THEN sqrt(gap) ELSE gap END, 6) AS distance
+FROM rk WHERE r <= {_NEAR_TEXT}""")
+def knn_text(t):
+    train, dev = labelled_docs(t)
+    vectors = V.fit_text(train, "doc_id", tokens(), up_to=2)
+    known = materialize(vectors.fitted().select("doc_id", "term", "weight"), "text-train")
+    asked = materialize(vectors.transform(dev, tokens()).select("doc_id", "term", "weight"), "text-dev")
+    found = [SN.sparse_knn(dev, asked, train, known, _NEAR_TEXT, p=p, query_key="doc_id", train_key="doc_id", payload=["quality"])
+             .withColumn("p", F.lit(p)) for p in (1, 2)]
+    d = F.col("distance")
+    shown = F.when(F.col("p") == 2, F.sqrt(F.round(d * d, 9))).otherwise(F.round(d, 9))
+    return found[0].unionByName(found[1]).select("p", "doc_id", "neighbor", "quality", "rank", F.round(shown, 6).alias("distance"))
+
+
+@query("smote_text", f"""
+WITH {_GRAMS.replace("{counts}", count_ctes(min_df=3, bigrams=True))},
+nq AS (SELECT quality, count(*) n FROM sz GROUP BY 1),
+need AS (SELECT quality, n, (SELECT max(n) FROM nq) - n miss FROM nq WHERE n < (SELECT max(n) FROM nq)),
+dr AS (SELECT quality, n, unnest(range(miss)) draw FROM need),
+d2 AS (SELECT quality, draw, {draw(42, "'base'", 'quality', 'draw')} % n pos, {draw(42, "'near'", 'quality', 'draw')} % least(5, n - 1) + 1 nth,
+       {draw(42, "'gap'", 'quality', 'draw')}::DOUBLE / 1152921504606846976.0::DOUBLE u FROM dr),
+ps AS (SELECT *, row_number() OVER (PARTITION BY quality ORDER BY md5('42:' || doc_id), doc_id) - 1 pos FROM sz),
+{_pairs_sql(2, "a.quality IN (SELECT quality FROM need)", "a.quality = b.quality AND a.doc_id <> b.doc_id")},
+nn AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY gap, nb) nth FROM gp2),
+md AS (SELECT 'synthetic:' || d2.quality || ':' || draw row_key, ps.doc_id, nb, d2.quality, u FROM d2
+       JOIN ps ON ps.quality = d2.quality AND ps.pos = d2.pos JOIN nn ON nn.doc_id = ps.doc_id AND nn.nth = d2.nth),
+lg AS (SELECT row_key, term, sum(x) x FROM (SELECT row_key, term, weight * (1 - u) x FROM md JOIN w ON w.doc_id = md.doc_id
+       UNION ALL SELECT row_key, term, weight * u FROM md JOIN w ON w.doc_id = nb) GROUP BY 1, 2)
+SELECT row_key, md.doc_id AS source_key, nb AS neighbor, quality, count(term) AS n_terms, round(coalesce(sum(x), 0), 6) AS total,
+       round(coalesce(sum(x * x), 0), 6) AS squares FROM md LEFT JOIN lg USING (row_key) GROUP BY 1, 2, 3, 4""")
+def smote_text(t):
+    docs = t.texts.join(t.labels, "doc_id").select("doc_id", "text", "quality")
+    vectors = V.fit_text(docs, "doc_id", tokens(), up_to=2)
+    made, weights = SN.sparse_smote(docs, materialize(vectors.fitted(), "text-rows"), "doc_id", "quality")
+    sums = weights.groupBy("row_key").agg(F.count("*").alias("n_terms"), F.sum("weight").alias("total"),
+                                          F.sum(F.col("weight") * F.col("weight")).alias("squares"))
+    return made.join(sums, "row_key", "left").select(
+        "row_key", "source_key", "neighbor", "quality", F.coalesce("n_terms", F.lit(0)).alias("n_terms"),
+        *[F.round(F.coalesce(c, F.lit(0.0)), 6).alias(c) for c in ("total", "squares")])
 
 
 # --- MLlib learners: results are learnt, so only their shape can be checked ------------------------

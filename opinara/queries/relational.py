@@ -170,13 +170,15 @@ def confusion_matrix(t):
     return M.confusion_matrix(counts(t))
 
 
+# Every row, over a fixed list with a label that none of them has.
+_FIXED = ["MIXTO", "NEGATIVO", "NEUTRO", "POSITIVO"]
+
+
 @query("confusion_matrix_fixed", f"""
-SELECT l AS real, count(*) FILTER (WHERE pred = 'NEGATIVO') AS "pred_NEGATIVO",
- count(*) FILTER (WHERE pred = 'NEUTRO') AS "pred_NEUTRO", count(*) FILTER (WHERE pred = 'POSITIVO') AS "pred_POSITIVO"
-FROM (SELECT unnest(['NEGATIVO', 'NEUTRO', 'POSITIVO']) l) LEFT JOIN (SELECT * FROM ({_SCORED}) WHERE real <> 'NEUTRO') ON real = l GROUP BY 1""")
+SELECT l AS real, {", ".join(f"count(*) FILTER (WHERE pred = '{c}') AS pred_{c}" for c in _FIXED)}
+FROM (SELECT unnest({_FIXED}) l) LEFT JOIN ({_SCORED}) ON real = l GROUP BY 1""")
 def confusion_matrix_fixed(t):
-    some = M.confusion_counts(predicted(t).filter(F.col("real") != "NEUTRO"), "real", "pred")
-    return M.confusion_matrix(some, ["NEGATIVO", "NEUTRO", "POSITIVO"])
+    return M.confusion_matrix(counts(t), _FIXED)
 
 
 def prf_sql(scored: str, average: str, positive: str = "1", by: str = "") -> str:
