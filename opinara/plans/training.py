@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinara.operators import bayes, learners, metrics, neighbors, sampling
+from opinara.operators.sparse_neighbors import sparse_knn, sparse_smote
 from opinara.plans.config import JobConfig
 from opinara.plans.preprocess import Preprocessor, balance, dense, fit_preprocessor
 from opinara.session import materialize, small_table
@@ -83,14 +84,32 @@ class _Job:
         return metrics.trial_scores(counts, by, self.config.average, self.config.positive)
 
     def undersampled(self) -> DataFrame:
-        """Balanced raw rows, for learners that work on the long table."""
+        """Raw train rows, balanced where the job undersamples."""
         prep = self.config.prep
-        if prep.get("sampling") == "oversampling":
-            raise ValueError("oversampling needs vectors; use undersampling with term-based naive Bayes")
         if prep.get("sampling") == "undersampling":
             return materialize(sampling.undersample(self.train_raw, self.key, self.target, prep.get("balance", "auto")), "under")
         return self.train_raw
 
+    @property
+    def oversampled(self) -> bool:
+        return self.config.prep.get("sampling") == "oversampling"
+
+    def long_train(self) -> tuple[DataFrame, DataFrame]:
+        """Balanced train rows ``(key, target)`` and their long table; keys are strings where rows were made."""
+        raw = self.undersampled()
+        rows, long = raw.select(self.key, self.target), self.pre.long_rows(raw)
+        if not self.oversampled:
+            return rows, long
+        made, made_long = sparse_smote(rows, long, self.key, self.target, self.config.prep.get("balance", "auto"))
+        name = F.col(self.key).cast("string").alias(self.key)
+        rows = rows.select(name, self.target).unionByName(made.select(F.col("row_key").alias(self.key), self.target))
+        long = long.select(name, "term", "weight").unionByName(made_long.withColumnRenamed("row_key", self.key))
+        return materialize(rows, "balanced-rows"), materialize(long, "balanced-long")
+
+    def n_terms(self) -> int:
+        """Features of the fitted preprocessing, whether or not the balanced rows still have them."""
+        return len(self.pre.columns) + sum(t.vectors.vocab.count() for t in self.pre.texts)
+
 
 def _names(trials: DataFrame, names: dict) -> DataFrame:
     table = small_table(trials.sparkSession, list(names.items()), "trial_id int, Combinacion string")
@@ -103,16 +122,37 @@ def _winner(trials: DataFrame) -> tuple[DataFrame, dict]:
 
 
 class _Neighbors:
+    """Over text the long tables are compared, whatever the number of terms; otherwise, and where
+    a column has negative values (sparse bounds need none), dense rows."""
+
+    @staticmethod
+    def _sparse(pre: Preprocessor, *longs: DataFrame) -> bool:
+        return bool(pre.texts) and not any(pre.columns and long.filter(F.col("weight") < 0).limit(1).count() for long in longs)
+
     @staticmethod
     def _near(dev, train, key, target, k, p):
-        return neighbors.knn_join(dense(dev), dense(train), k, p=p, query_key=key, train_key=key, query_vec="vec",
-                                  train_vec="vec", payload=[target]).withColumn("p", F.lit(p))
+        if isinstance(train, tuple):
+            (rows, long), (asked, asked_long) = train, dev
+            found = sparse_knn(asked, asked_long, rows, long, k, p=p, query_key=key, train_key=key, payload=[target])
+        else:
+            found = neighbors.knn_join(dense(dev), dense(train), k, p=p, query_key=key, train_key=key, query_vec="vec",
+                                       train_vec="vec", payload=[target])
+        return found.withColumn("p", F.lit(p))
+
+    @staticmethod
+    def _sides(job: _Job):
+        if job.pre.texts:
+            dev = job.dev_raw.select(job.key), job.pre.long_rows(job.dev_raw)
+            plain = job.pre.long_rows(job.train_raw) if job.pre.columns else dev[1]
+            if _Neighbors._sparse(job.pre, dev[1], plain):
+                return job.long_train(), dev
+        return job.vectors()
 
     @staticmethod
     def run(job: _Job) -> tuple[DataFrame, Model]:
         options = job.config.knn()
         grid = neighbors.knn_trials(options["ks"], options["ps"], options["weights"])
-        train, dev = job.vectors()
+        train, dev = _Neighbors._sides(job)
         near = None
         for p in options["ps"]:
             found = _Neighbors._near(dev, train, job.key, job.target, max(options["ks"]), p)
@@ -121,58 +161,72 @@ class _Neighbors:
         scores = _names(job.score(voted, ["trial_id"]), {i: f"k={k}, p={p}, {w}" for i, k, p, w in grid})
         trials, best = _winner(scores)
         _, k, p, w = grid[best["trial_id"]]
-        return trials, Model("KNN", best["Combinacion"], {"k": k, "p": p, "weights": w, "key": job.key, "target": job.target}, train)
+        params = {"k": k, "p": p, "weights": w, "key": job.key, "target": job.target, "sparse": isinstance(train, tuple)}
+        return trials, Model("KNN", best["Combinacion"], params, train)
 
     @staticmethod
     def predict(model: Model, pre: Preprocessor, raw: DataFrame) -> DataFrame:
         o = model.params
-        near = _Neighbors._near(pre.transform(raw), model.state, pre.key, pre.target, o["k"], o["p"])
+        asked = (raw.select(pre.key), pre.long_rows(raw)) if o["sparse"] else pre.transform(raw)
+        near = _Neighbors._near(asked, model.state, pre.key, pre.target, o["k"], o["p"])
         return neighbors.knn_classify(near, pre.key, pre.target, o["weights"])
 
     @staticmethod
     def save(model: Model, path: str) -> None:
-        model.state.select(model.params["key"], "features", model.params["target"]).write.mode("overwrite").parquet(path)
+        if model.params["sparse"]:
+            for name, part in zip(("rows", "long"), model.state):
+                part.write.mode("overwrite").parquet(os.path.join(path, name))
+        else:
+            model.state.select(model.params["key"], "features", model.params["target"]).write.mode("overwrite").parquet(path)
 
     @staticmethod
     def load(spark, model: Model, path: str):
+        if model.params["sparse"]:
+            return tuple(spark.read.parquet(os.path.join(path, name)) for name in ("rows", "long"))
         return spark.read.parquet(path)
 
 
 class _Bayes:
+    """Term models work on the long table; so do the others where there is text or rows are made."""
+
     @staticmethod
     def run(job: _Job) -> tuple[DataFrame, Model]:
         options = job.config.bayes()
-        kind = options["kind"]
-        train = job.undersampled()
+        kind, long = options["kind"], bool(job.pre.texts) or job.oversampled
+        alphas = [None] if kind == "gaussian" else bayes.alpha_grid(options["low"], options["high"], options["step"])
         if kind in ("multinomial", "complement"):
-            alphas = bayes.alpha_grid(options["low"], options["high"], options["step"])
-            fitted = bayes.fit_term_bayes(train, job.pre.long_rows(train), job.key, job.target, kind)
+            rows, weights = job.long_train()
+            fitted = bayes.fit_term_bayes(rows, weights, job.key, job.target, kind, job.n_terms())
             out = fitted.predict(job.dev_raw, job.pre.long_rows(job.dev_raw), alphas)
-            scores = job.score(out, ["alpha"])
-            scores = _names(_number(scores, alphas), {i: f"alpha:{a}" for i, a in enumerate(alphas)})
+        elif long:
+            fit = bayes.fit_long_categorical if kind == "categorical" else bayes.fit_long_gaussian
+            fitted = fit(*job.long_train(), job.key, job.target)
+            out = _Bayes._long(fitted, kind, job.dev_raw, job.pre.long_rows(job.dev_raw), alphas)
         elif kind == "categorical":
-            if job.pre.texts:
-                raise ValueError("categorical naive Bayes works on coded columns; convert or drop the text")
-            alphas = bayes.alpha_grid(options["low"], options["high"], options["step"])
-            fitted = bayes.fit_categorical(job.pre._numbers(train), job.pre.columns, job.target)
-            dev = job.pre._numbers(job.dev_raw)
-            out = fitted.predict_many(dev, alphas).select(job.key, "alpha", "prediction")
-            scores = _names(_number(job.score(out, ["alpha"]), alphas), {i: f"alpha:{a}" for i, a in enumerate(alphas)})
+            fitted = bayes.fit_categorical(job.pre._numbers(job.undersampled()), job.pre.columns, job.target)
+            out = fitted.predict_many(job.pre._numbers(job.dev_raw), alphas).select(job.key, "alpha", "prediction")
         else:
-            alphas = [None]
-            if job.pre.texts:
-                raise ValueError("Gaussian naive Bayes works on numeric columns; convert or drop the text")
-            fitted = bayes.fit_gaussian(job.pre._numbers(train), job.pre.columns, job.target)
-            out = fitted.predict(job.pre._numbers(job.dev_raw)).select(job.key, "prediction").withColumn("trial_id", F.lit(0))
-            scores = _names(job.score(out, ["trial_id"]), {0: f"No tiene alpha: {kind}"})
+            fitted = bayes.fit_gaussian(job.pre._numbers(job.undersampled()), job.pre.columns, job.target)
+            out = fitted.predict(job.pre._numbers(job.dev_raw)).select(job.key, "prediction")
+        if kind == "gaussian":
+            scores = _names(job.score(out.withColumn("trial_id", F.lit(0)), ["trial_id"]), {0: f"No tiene alpha: {kind}"})
+        else:
+            scores = _names(_number(job.score(out, ["alpha"]), alphas), {i: f"alpha:{a}" for i, a in enumerate(alphas)})
         trials, best = _winner(scores)
-        return trials, Model("NaiveBayes", best["Combinacion"], {"kind": kind, "alpha": alphas[best["trial_id"]]}, fitted)
+        params = {"kind": kind, "alpha": alphas[best["trial_id"]], "long": long}
+        return trials, Model("NaiveBayes", best["Combinacion"], params, fitted)
+
+    @staticmethod
+    def _long(fitted, kind: str, raw: DataFrame, weights: DataFrame, alphas: list) -> DataFrame:
+        return fitted.predict(raw, weights) if kind == "gaussian" else fitted.predict(raw, weights, alphas)
 
     @staticmethod
     def predict(model: Model, pre: Preprocessor, raw: DataFrame) -> DataFrame:
         kind, alpha = model.params["kind"], model.params["alpha"]
         if kind in ("multinomial", "complement"):
             return model.state.predict(raw, pre.long_rows(raw), [alpha]).select(pre.key, "prediction")
+        if model.params["long"]:
+            return _Bayes._long(model.state, kind, raw, pre.long_rows(raw), [alpha]).select(pre.key, "prediction")
         ready = pre._numbers(raw)
         out = model.state.predict(ready, alpha) if kind == "categorical" else model.state.predict(ready)
         return out.select(pre.key, "prediction")

@@ -1,5 +1,6 @@
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -170,16 +171,69 @@ def test_cleaning_runs_on_a_stream(spark, tmp_path):
     assert {tuple(r) for r in spark.table("cleaned").collect()} == {("love", "POSITIVO"), ("desconocido", "NEGATIVO")}
 
 
-@pytest.mark.parametrize("kind", ["categorical", "gaussian"])
-def test_bayes_on_codes_or_numbers_refuses_text(spark, kind):
-    """A text beside a number is never dropped without a word."""
-    job = config("NaiveBayes", nb=kind, drop_features=["reviewId"])
-    with pytest.raises(ValueError, match="text"):
-        training.split_and_train(job, reviews(spark), "k", "score")
+@pytest.mark.parametrize("algorithm, prep", [
+    ("NaiveBayes", {"nb": "categorical", "text_preprocess": "frequency"}),
+    ("NaiveBayes", {"nb": "gaussian", "sampling": "oversampling"}),
+    ("NaiveBayes", {"sampling": "oversampling"}),
+    ("KNN", {"sampling": "oversampling"}),
+    ("KNN", {"scaling": "z-score"}),
+])
+def test_text_beside_a_number(spark, tmp_path, algorithm, prep):
+    """Text, a number and unequal classes: every term is a feature, rows are made from terms, and a package reloads."""
+    data = reviews(spark).filter("score <> 'NEUTRO' OR k % 2 = 0")
+    outcome = training.split_and_train(config(algorithm, **{"drop_features": ["reviewId"], **prep}), data, "k", "score")
+    path = str(tmp_path / "package")
+    outcome.save(path)
+    report = training.evaluate(spark, path, outcome.test)
+    assert report["scores"].first()["f1"] > 0.5
+    direct = {r["k"]: r["prediction"] for r in outcome.model.predict(outcome.preprocessor, outcome.test).collect()}
+    assert direct == {r["k"]: r["prediction"] for r in report["predictions"].collect()}
+
+
+def long_rows(spark):
+    random = np.random.default_rng(2)
+    cells = [(i, f"t{t}", float(random.integers(1, 4))) for i in range(60) for t in range(8) if random.random() < (0.7 if t % 3 == i % 3 else 0.3)]
+    return (spark.createDataFrame([(i, "abc"[i % 3]) for i in range(60)], "k int, c string"),
+            spark.createDataFrame(cells, "k int, term string, weight double"), cells)
+
+
+@pytest.mark.parametrize("at_once", [1, 50, 2_000_000])
+def test_documents_fold_over_any_cut_of_their_entries(spark, monkeypatch, at_once):
+    monkeypatch.setattr(bayes, "ENTRIES_AT_ONCE", at_once)
+    rows, long, cells = long_rows(spark)
+    alphas = [0.1, 1.0, 2.5]
+    got = bayes.fit_term_bayes(rows, long, "k", "c", n_terms=20).predict(rows, long, alphas).collect()
+    table = {i: {} for i in range(60)}
+    for i, t, w in cells:
+        table[i][t] = w
+    mass = {c: {f"t{t}": sum(table[i].get(f"t{t}", 0) for i in range(60) if "abc"[i % 3] == c) for t in range(8)} for c in "abc"}
+    for r in got:
+        scores = {c: sum(w * np.log((mass[c][t] + r["alpha"]) / (sum(mass[c].values()) + 20 * r["alpha"])) for t, w in table[r["k"]].items())
+                  for c in "abc"}
+        assert scores[r["prediction"]] == pytest.approx(max(scores.values()))
+    assert len(got) == 180
+
+
+def test_implied_zeros_are_zeros(spark, tmp_path):
+    """Long models against the same rows written out in columns."""
+    rows, long, cells = long_rows(spark)
+    names = [f"t{t}" for t in range(8)]
+    wide = rows.join(long.groupBy("k").pivot("term", names).agg(F.first("weight")).na.fill(0.0), "k", "left").na.fill(0.0)
+    said = lambda df: {r["k"]: r["prediction"] for r in df.collect()}
+    gaussian = bayes.fit_long_gaussian(rows, long, "k", "c")
+    assert said(gaussian.predict(rows, long)) == said(bayes.fit_gaussian(wide, names, "c").predict(wide))
+    coded = bayes.fit_long_categorical(rows, long, "k", "c")
+    for alpha in (0.2, 1.0):
+        assert said(coded.predict(rows, long, [alpha])) == said(bayes.fit_categorical(wide, names, "c").predict(wide, alpha))
+    for i, model in enumerate((gaussian, coded)):
+        model.save(str(tmp_path / str(i)))
+        again = bayes.load_bayes(spark, str(tmp_path / str(i)))
+        more = () if model is gaussian else ([1.0],)
+        assert said(again.predict(rows, long, *more)) == said(model.predict(rows, long, *more))
 
 
 def test_queries_run_the_shipped_grids(spark, monkeypatch):
-    """What the learned queries hand to the operators, against the reference's config_file.json."""
+    """What the learned queries hand to the operators, against the shipped configuration."""
     from types import SimpleNamespace
 
     from opinara.queries import grouping as grouped
