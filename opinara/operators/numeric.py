@@ -7,12 +7,15 @@
 from __future__ import annotations
 
 import json
+import struct
 from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from opinara.session import small_table
+
+from opinara.session import materialize, small_table
 
 
 def numeric_columns(df: DataFrame, exclude: list[str] | None = None) -> list[str]:
@@ -39,12 +42,12 @@ _STATS = {
 }
 STATS = (*_STATS, "median", "mode")
 
-# Values a single aggregate may hold; beyond it the median is bracketed first.
-MEDIAN_ROWS = 1_000_000
+# The digits of a median's bits, highest first.
+DIGIT_BITS = 16
+DIGIT_SHIFTS = (48, 32, 16, 0)
 
 
-def learn_stats(df: DataFrame, columns: list[str], stats: list[str],
-                median_rows: int = MEDIAN_ROWS) -> dict[str, dict[str, float]]:
+def learn_stats(df: DataFrame, columns: list[str], stats: list[str]) -> dict[str, dict[str, float]]:
     """``{column: {stat: value}}``; plain statistics share one pass."""
     if not columns:
         return {}
@@ -54,7 +57,7 @@ def learn_stats(df: DataFrame, columns: list[str], stats: list[str],
         row = df.agg(*[_STATS[s](_value(F.col(c))).alias(f"{c}_{s}")
                        for c in columns for s in plain]).first()
         out = {c: {s: row[f"{c}_{s}"] for s in plain} for c in columns}
-    for name, learn in (("median", lambda: exact_medians(df, columns, median_rows)),
+    for name, learn in (("median", lambda: exact_medians(df, columns)),
                         ("mode", lambda: smallest_modes(df, columns))):
         if name in stats:
             for c, v in learn().items():
@@ -77,45 +80,47 @@ def smallest_modes(df: DataFrame, columns: list[str]) -> dict[str, float]:
     return {c: found.get(c) for c in columns}
 
 
-def exact_medians(df: DataFrame, columns: list[str],
-                  median_rows: int = MEDIAN_ROWS) -> dict[str, float]:
-    """Exact medians without one task holding a whole column."""
-    counts = df.agg(*[F.count(c).alias(c) for c in columns]).first()
-    small = [c for c in columns if counts[c] <= median_rows]
-    out: dict[str, float] = {}
-    if small:
-        row = df.agg(*[F.median(_value(F.col(c))).alias(c) for c in small]).first()
-        out = {c: row[c] for c in small}
-    for c in columns:
-        if c not in out:
-            out[c] = _bracketed_median(df.select(_value(F.col(c)).alias("x")).filter(
-                F.col("x").isNotNull()), counts[c], median_rows)
-    return out
-
-
-def _bracketed_median(values: DataFrame, n: int, limit: int) -> float:
-    """Narrow a bracket around the middle ranks until its distinct values are few."""
-    first, last = (n - 1) // 2, n // 2
-    lo, hi = values.agg(F.min("x"), F.max("x")).first()
-    below, inside = 0, n
-    while True:
-        span = values.filter(F.col("x").between(lo, hi))
-        cut = [max(0.0, (first - below) / inside - 1e-3), min(1.0, (last - below) / inside + 1e-3)]
-        new_lo, new_hi = span.agg(F.percentile_approx("x", cut, 10_000)).first()[0]
-        under, kept = values.agg(F.count_if(F.col("x") < new_lo),
-                                 F.count_if(F.col("x").between(new_lo, new_hi))).first()
-        if under <= first and last < under + kept:
-            lo, hi, below, inside = new_lo, new_hi, under, kept
-        counted = (values.filter(F.col("x").between(lo, hi)).groupBy("x")
-                   .agg(F.count("*").alias("n")))
-        rows = counted.limit(limit + 1).collect()
-        if len(rows) <= limit:
-            break
-    at, picked = below, []
-    for r in sorted(rows, key=lambda r: r["x"]):
-        picked += [r["x"]] * ((at <= first < at + r["n"]) + (at <= last < at + r["n"]))
-        at += r["n"]
-    return sum(picked) / 2.0
+def ordered_bits(column: Column) -> Column:
+    """A long in the order of the doubles: -0.0 as 0.0, NaN after all others."""
+    bits = F.java_method(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), _value(column) + F.lit(0.0)).cast("long")
+    return F.when(column.isNotNull(), F.when(bits < 0, bits.bitwiseXOR(F.lit(2 ** 63 - 1))).otherwise(bits))
+
+
+def _double(key: int) -> float:
+    return struct.unpack("<d", struct.pack("<q", key if key >= 0 else key ^ (2 ** 63 - 1)))[0]
+
+
+def exact_medians(df: DataFrame, columns: list[str]) -> dict[str, float]:
+    """Exact medians by digits: four grouped counts of 16 bits each find the value at a rank.
+
+    Every column takes part in each count, and a count has at most 65,536 rows
+    a rank, whatever the table; only the row that holds the rank comes back.
+    """
+    keys = materialize(df.select(*[ordered_bits(F.col(c)).alias(f"k{i}") for i, c in enumerate(columns)]), "median-keys")
+    counts = keys.agg(*[F.count(f"k{i}").alias(f"k{i}") for i in range(len(columns))]).first()
+    # (column, middle place) -> leading bits found so far, rank among the values that have them.
+    found = {(i, r): (None, r) for i in range(len(columns)) if counts[f"k{i}"]
+             for r in ((counts[f"k{i}"] - 1) // 2, counts[f"k{i}"] // 2)}
+    for shift in DIGIT_SHIFTS if found else ():
+        targets = list(found)
+        cells = []
+        for at, target in enumerate(targets):
+            key, (prefix, _) = F.col(f"k{target[0]}"), found[target]
+            inside = key.isNotNull() if prefix is None else F.shiftright(key, shift + DIGIT_BITS) == F.lit(prefix)
+            cells.append(F.when(inside, F.struct(F.lit(at).alias("at"), F.shiftright(key, shift).alias("lead"))))
+        histogram = (keys.select(F.explode(F.array_compact(F.array(*cells))).alias("c")).groupBy("c.at", "c.lead")
+                     .agg(F.count("*").alias("n")))
+        before = F.sum("n").over(W.partitionBy("at").orderBy("lead").rowsBetween(W.unboundedPreceding, -1))
+        rank = F.element_at(F.array(*[F.lit(found[t][1]) for t in targets]), F.col("at") + 1)
+        hit = (histogram.withColumn("before", F.coalesce(before, F.lit(0)))
+               .filter((F.col("before") <= rank) & (rank < F.col("before") + F.col("n"))))
+        for row in hit.collect():
+            target = targets[row["at"]]
+            found[target] = (row["lead"], found[target][1] - row["before"])
+    middle: dict[int, list[float]] = {}
+    for (i, _), (key, _) in sorted(found.items()):
+        middle.setdefault(i, []).append(_double(key))
+    return {c: sum(middle[i]) / len(middle[i]) if i in middle else None for i, c in enumerate(columns)}
 
 
 def column_stats(df: DataFrame, columns: list[str], stats: list[str]) -> DataFrame:

@@ -62,12 +62,21 @@ def test_impute_and_scale_edge_cases(spark):
         numeric.fit_impute(df, ["a"], "delete")
 
 
-@pytest.mark.parametrize("n", [1, 2, 50, 501])
-def test_bracketed_median_is_exact(spark, n):
-    df = spark.range(n).select(((F.col("id") * 7919) % 13 + F.when(F.col("id") % 3 == 0, 0.5).otherwise(0.0)).cast("double").alias("x"))
-    values = sorted(r["x"] for r in df.collect())
-    want = (values[(n - 1) // 2] + values[n // 2]) / 2
-    assert numeric.exact_medians(df, ["x"], median_rows=5)["x"] == want
+@pytest.mark.parametrize("values", [
+    [7.0], [2.0, 2.0], [-0.0, 0.0], [-0.0, 0.0, -5e-324, 5e-324], [float("inf"), 1.0, float("-inf")], [1e308, 1e308, 3.0, 3.0],
+    [-1.5, -1.5000000000000002, -1.4999999999999998, 4.0], [((i * 7919) % 13 + 0.5 * (i % 3 == 0)) * (-1) ** i for i in range(501)],
+])
+def test_medians_by_digits_are_exact(spark, values):
+    """Ties, both zeros, neighbours in the last bit, several columns at once, nulls left out."""
+    rows = [(v, -v, None, int(i)) for i, v in enumerate(values)] + [(None, None, None, 3)] * 2
+    df = spark.createDataFrame(rows, "x double, y double, z double, w int").repartition(3)
+    got = numeric.exact_medians(df, ["x", "y", "z", "w"])
+
+    def middle(some):
+        some = sorted(some)
+        return (some[(len(some) - 1) // 2] + some[len(some) // 2]) / 2
+    assert got == {"x": middle(values), "y": middle([-v for v in values]), "z": None, "w": middle([r[3] for r in rows])}
+    assert numeric.exact_medians(df.limit(0), ["x"]) == {"x": None}
 
 
 def test_metrics_with_labels_on_one_side_only(spark):
