@@ -9,7 +9,8 @@ from opinara.operators import prompts as P
 from opinara.queries.registry import query
 from opinara.queries.samples import _PICK
 from opinara.queries.sqltext import quote, words
-from opinara.session import materialize
+from opinara.session import materialize, scratch_path
+from opinara.sources.tables import read_runs, write_run
 
 
 def sized_answers():
@@ -58,20 +59,36 @@ def prompt_infer(t):
     return answered.select("doc_id", "strategy", "pred")
 
 
-@query("prompt_log", f"""
+_LOG_SQL = f"""
 WITH {_EX}, an AS (SELECT *, {_PRED} pred FROM pm), ok AS (SELECT * FROM an WHERE pred IN ({words(SENTIMENTS)})),
 lab AS (SELECT strategy, real l, CAST(real = pred AS INT) tp, CAST(real <> pred AS INT) er FROM ok UNION ALL SELECT strategy, pred, 0, CAST(real <> pred AS INT) FROM ok),
 per AS (SELECT strategy, l, sum(tp) tp, sum(er) er FROM lab GROUP BY 1, 2),
 f AS (SELECT strategy, round(avg(CASE WHEN 2 * tp + er > 0 THEN 2 * tp / (2 * tp + er) ELSE 0 END), 4) f1 FROM per GROUP BY 1)
 SELECT doc_id, f1 AS "F-score", 'stub' AS "modelo/tamaño", strategy AS "tipo de prompt", length(template) AS n_template, md5(entrada) AS entrada,
- lower(pred) AS "salida (prediccion)", real AS "salida (real)" FROM an JOIN f USING (strategy)""")
-def prompt_log(t):
-    answered = materialize(P.read_replies(P.infer(prompts(t), sized_answers)), "replies")
-    log = P.prompt_log(answered, "stub", "doc_id")
+ lower(pred) AS "salida (prediccion)", real AS "salida (real)" FROM an JOIN f USING (strategy)"""
+
+
+def shown_log(log):
     return (log.withColumn("n_template", F.length("prompt empleado").cast("bigint")).withColumn("entrada", F.md5("entrada"))
             .drop("prompt empleado"))
 
 
+@query("prompt_log", _LOG_SQL)
+def prompt_log(t):
+    answered = materialize(P.read_replies(P.infer(prompts(t), sized_answers)), "replies")
+    return shown_log(P.prompt_log(answered, "stub", "doc_id"))
+
+
+@query("prompt_log_sink", f"SELECT *, 'few' AS run_id FROM ({_LOG_SQL.strip()}) UNION ALL SELECT *, 'again' FROM ({_LOG_SQL.strip()})")
+def prompt_log_sink(t):
+    """Two runs, one of them written twice: its second writing replaces the first."""
+    answered = materialize(P.read_replies(P.infer(prompts(t), sized_answers)), "replies")
+    log, path = P.prompt_log(answered, "stub", "doc_id"), scratch_path(t.spark, "prompt-log")
+    for run in ("few", "again", "few"):
+        write_run(log, path, run)
+    return shown_log(read_runs(t.spark, path))
+
+
 _GEN = P.GENERATION.replace("{label}", "POSITIVO")
 
 

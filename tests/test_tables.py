@@ -94,3 +94,33 @@ def test_metrics_with_labels_on_one_side_only(spark):
 def test_best_trial_prefers_the_first(spark):
     df = spark.createDataFrame([(2, 0.5), (1, 0.7), (0, 0.7)], "trial_id int, f1 double")
     assert metrics.best_trial(df).first()["trial_id"] == 0
+
+
+def test_a_repeated_run_replaces_its_own_rows(spark, tmp_path):
+    path = str(tmp_path / "log")
+    frame = lambda *rows: spark.createDataFrame(list(rows), "name string, score double")
+    tables.write_run(frame(("a", 1.0), ("b", 2.0)), path, "first")
+    tables.write_run(frame(("c", 3.0)), path, "second")
+    tables.write_run(frame(("d", 4.0)).withColumn("more", F.lit(1)), path, "first")
+    got = {(r["name"], r["score"], r["more"], r["run_id"]) for r in tables.read_runs(spark, path).collect()}
+    assert got == {("d", 4.0, 1, "first"), ("c", 3.0, None, "second")}
+    assert [r["name"] for r in tables.read_runs(spark, path, ["second"]).collect()] == ["c"]
+    # Rows that no manifest line names (a job that died) are not read.
+    frame(("lost", 0.0)).write.parquet(path + "/rows/half")
+    assert tables.read_runs(spark, path).count() == 2
+    with pytest.raises(ValueError):
+        tables.read_runs(spark, path, ["third"])
+
+
+def test_csv_without_newlines_in_fields_is_cut(spark, tmp_path):
+    path = str(tmp_path / "rows.csv")
+    with open(path, "w") as file:
+        file.write("k,t\n" + "".join(f'{i},"a, ""b"" {i}"\n' for i in range(20_000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        split = tables.read_csv(spark, path, "k int, t string", multi_line=False)
+        whole = tables.read_csv(spark, path, "k int, t string")
+        assert split.rdd.getNumPartitions() > 2 and whole.rdd.getNumPartitions() == 1
+        assert split.exceptAll(whole).count() == 0 and split.count() == 20_000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
