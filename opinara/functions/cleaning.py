@@ -25,25 +25,50 @@ def null_sentinel(text: Column) -> Column:
                             L.MISSING_TEXT)
 
 
+def _emoji_pattern(symbols) -> str:
+    """A regex whose group 1 is the longest known symbol at a place; styling and joining marks after it go along."""
+    points = lambda symbol: [rf"\x{{{ord(c):X}}}" for c in symbol]
+    longer = sorted((s for s in symbols if len(s) > 1), key=lambda s: (-len(s), s))
+    chains = [r"\x{FE0F}?".join(points(s)) for s in longer]
+    single = "".join(points(s)[0] for s in symbols if len(s) == 1)
+    flag = f"[{L.REGIONAL_LETTERS[0]}-{L.REGIONAL_LETTERS[-1]}]{{2}}"
+    keycap = rf"[0-9#*]\x{{FE0F}}?{L.KEYCAP}"
+    return f"({'|'.join([*chains, flag, keycap, f'[{L.EMOJI_CLASS}{single}]'])})[{L.EMOJI_JOINERS}]*"
+
+
 def emoji_to_words(text: Column, names: dict[str, str] | None = None) -> Column:
     """Spell emoji out, then turn ``:`` ``_`` ``-`` into spaces.
 
-    Names come from ``names`` (default: the built-in table); other pictographs
-    fall back to their Unicode character name. A text without emoji costs one
-    regex scan.
+    Names come from ``names`` (default: the built-in table), whose symbols may
+    have several code points; at each place the longest one is taken, in one
+    pass from left to right. A flag outside the table becomes ``flag`` and its
+    region letters, a keycap ``keycap`` and its sign, any other pictograph its
+    Unicode character name. A text in ASCII costs one regex scan.
     """
-    names = L.EMOJI_NAMES if names is None else names
+    names = {symbol.replace("️", ""): name for symbol, name in (L.EMOJI_NAMES if names is None else names).items()}
     table = _literal_map({symbol: _quoted(name) for symbol, name in names.items()})
-
-    def spell(acc: Column, symbol: Column) -> Column:
-        unicode_name = F.call_function("java_method", F.lit("java.lang.Character"),
-                                       F.lit("getName"), F.ascii(symbol))
-        name = F.lower(F.coalesce(F.try_element_at(table, symbol), unicode_name))
-        return F.replace(acc, symbol, F.concat(F.lit(" "), name, F.lit(" ")))
-
-    found = F.array_distinct(F.regexp_extract_all(text, F.lit(f"({L.EMOJI_PATTERN})"), F.lit(1)))
-    spelled = F.replace(F.aggregate(found, text, spell), F.lit("\ufe0f"), F.lit(""))
-    return reduce(lambda acc, mark: F.replace(acc, F.lit(mark), F.lit(" ")), ":_-", spelled)
+    pattern = F.lit(_emoji_pattern(names))
+
+    def name(symbol: Column) -> Column:
+        known = F.try_element_at(table, symbol)
+        first = F.substring(symbol, 1, 1)
+        made = (F.when(F.contains(F.lit(L.REGIONAL_LETTERS), first), F.concat(
+                    F.lit("flag "), F.translate(symbol, L.REGIONAL_LETTERS, "abcdefghijklmnopqrstuvwxyz")))
+                .when(F.endswith(symbol, F.lit(L.KEYCAP)), F.concat(F.lit("keycap "), first))
+                .otherwise(F.call_function("java_method", F.lit("java.lang.Character"), F.lit("getName"), F.ascii(symbol))))
+        return F.concat(F.lit(" "), F.lower(F.coalesce(known, made)), F.lit(" "))
+
+    def spelled(t: Column) -> Column:
+        found = F.transform(F.regexp_extract_all(t, pattern, F.lit(1)),
+                            lambda s: _let(F.replace(s, F.lit("️"), F.lit("")), name))
+        between = F.split(t, _emoji_pattern(names), -1)
+        joined = F.zip_with(between, F.concat(found, F.array(F.lit(""))), lambda gap, word: F.concat(gap, word))
+        return F.replace(F.array_join(joined, ""), F.lit("️"), F.lit(""))
+
+    # A caller's table may hold plain ASCII signs; only then is every text searched.
+    plain = any(symbol.isascii() for symbol in names)
+    out = _let(text, lambda t: F.when(F.lit(True) if plain else F.rlike(t, F.lit(r"[^\x00-\x7F]")), spelled(t)).otherwise(t))
+    return reduce(lambda acc, mark: F.replace(acc, F.lit(mark), F.lit(" ")), ":_-", out)
 
 
 def expand_contractions(text: Column) -> Column:

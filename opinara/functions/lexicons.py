@@ -70,8 +70,14 @@ NOUN_ENDINGS = [
     ("ches", "ch"), ("shes", "sh"), ("men", "man"), ("ies", "y"),
 ]
 
-# Pictographs that start an emoji look-up.
-EMOJI_PATTERN = r"[\x{2600}-\x{27BF}\x{1F300}-\x{1FAFF}]"
+# Pictographs of one code point, as the inside of a character class.
+EMOJI_CLASS = (r"\x{231A}\x{231B}\x{23E9}-\x{23F3}\x{23F8}-\x{23FA}\x{25FD}\x{25FE}\x{2600}-\x{27BF}\x{2B05}-\x{2B07}"
+               r"\x{2B1B}\x{2B1C}\x{2B50}\x{2B55}\x{1F004}\x{1F0CF}\x{1F18E}\x{1F191}-\x{1F19A}\x{1F300}-\x{1FAFF}")
+# A flag is two of these letters, a keycap a sign before U+20E3.
+REGIONAL_LETTERS = "".join(chr(0x1F1E6 + i) for i in range(26))
+KEYCAP = "⃣"
+# What joins or styles emoji and has no name of its own.
+EMOJI_JOINERS = "️‍"
 
 # Emoji and their CLDR short names; a caller can pass a fuller table.
 EMOJI_NAMES = {
@@ -100,6 +106,8 @@ EMOJI_NAMES = {
     "💯": "hundred points", "💥": "collision", "👍": "thumbs up", "👎": "thumbs down",
     "👌": "OK hand", "👏": "clapping hands", "🙏": "folded hands", "💪": "flexed biceps",
     "🔥": "fire", "⭐": "star", "✨": "sparkles", "🎉": "party popper",
+    "🏻": "light skin tone", "🏼": "medium-light skin tone", "🏽": "medium skin tone",
+    "🏾": "medium-dark skin tone", "🏿": "dark skin tone",
     "✅": "check mark button", "❌": "cross mark", "🚀": "rocket", "😥": "sad but relieved face",
 }
 

@@ -1,7 +1,8 @@
 """Dictionary work on tokens: stop lists, look-ups, lemmas, stems.
 
-Everything is decided once per distinct word and then joined back to the
-tokens, frequent words by broadcast (see ``lookup_join``).
+Everything is decided once per distinct word and then brought back to the
+tokens, frequent words by broadcast (see ``lookup_join``); lemmas and stems
+travel as small maps, one for each piece of a text.
 """
 
 from __future__ import annotations
@@ -82,27 +83,48 @@ def stem_map(words: DataFrame, language: str) -> DataFrame:
     return add_stem(words.select("word", "n"), "word", language)
 
 
-def regroup(df: DataFrame, key: str, tokens: DataFrame, word: str) -> DataFrame:
-    """``(key, tokens)`` in the original order for every row of ``df``, empty where none is left.
+#: Tokens whose changes share one map, so that a very long text is no long search per token.
+PIECE = 512
 
-    A group is one document, so its size is the document's own.
-    """
-    lists = tokens.groupBy(key).agg(F.transform(
-        F.array_sort(F.collect_list(F.struct("pos", F.col(word).alias("w")))), lambda s: s["w"]).alias("tokens"))
-    return df.select(key).join(lists, key, "left").withColumn(
-        "tokens", F.coalesce("tokens", F.array().cast("array<string>")))
 
+def rewrite_tokens(kept: DataFrame, key: str, mapping: DataFrame, out: str) -> DataFrame:
+    """The written table ``kept(key, tokens, ...)`` with every token as ``mapping(word, out, n)`` has it.
 
-def root_tokens(df: DataFrame, key: str, tokens: Column, language: str = "english",
-                lexicon: DataFrame | None = None, exceptions: DataFrame | None = None) -> DataFrame:
-    """``(key, tokens)`` with every token as its lemma (English) or stem (other languages)."""
-    rows = token_rows(df, key, tokens)
-    words = word_counts(rows)
+    Only words that change are looked up, once for each piece of a text they
+    stand in; a text gets its changes as small maps and its array never leaves
+    its row, so no token position is shuffled.
+    """
+    changed = materialize(mapping.where(F.col(out) != F.col("word")).select("word", out, "n"), "word-map")
+    pieces = F.transform(F.sequence(F.lit(0), F.floor((F.size("tokens") - 1) / PIECE).cast("int")),
+                         lambda i: F.array_distinct(F.slice("tokens", i * PIECE + 1, PIECE)))
+    found = (kept.where(F.size("tokens") > 0).select(key, F.posexplode(pieces).alias("piece", "words"))
+             .select(key, "piece", F.explode("words").alias("word")))
+    by_piece = (lookup_join(found, changed, "word", "n").groupBy(key, "piece")
+                .agg(F.map_from_entries(F.collect_set(F.struct("word", out))).alias("changes")))
+    by_text = by_piece.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("piece", "changes"))).alias("changes"))
+
+    def rewritten(i: Column) -> Column:
+        part = F.slice("tokens", i * PIECE + 1, PIECE)
+        return F.flatten(F.transform(F.array(F.try_element_at("changes", i)), lambda found: F.when(found.isNull(), part)
+                         .otherwise(F.transform(part, lambda w: F.coalesce(F.try_element_at(found, w), w)))))
+
+    whole = F.flatten(F.transform(F.sequence(F.lit(0), F.floor((F.size("tokens") - 1) / PIECE).cast("int")), rewritten))
+    return kept.join(by_text, key, "left").withColumn(
+        "tokens", F.when(F.col("changes").isNull(), F.col("tokens")).otherwise(whole)).drop("changes")
+
+
+def root_tokens(df: DataFrame, key: str, tokens: Column, language: str = "english", lexicon: DataFrame | None = None,
+                exceptions: DataFrame | None = None, **more: Column) -> DataFrame:
+    """``(key, tokens, more...)`` with every token as its lemma (English) or stem (other languages).
+
+    Texts are cleaned once into a written table; ``more`` are columns kept beside the tokens.
+    """
+    kept = materialize(df.select(key, F.coalesce(tokens, F.array().cast("array<string>")).alias("tokens"),
+                                 *[c.alias(name) for name, c in more.items()]), "tokens")
+    words = word_counts(kept.select(F.explode("tokens").alias("word")))
     if language == "english":
-        mapping, out = lemma_map(words, lexicon, exceptions), "lemma"
-    else:
-        mapping, out = stem_map(words, language), "stem"
-    return regroup(df, key, replace_words(rows, mapping, out), out)
+        return rewrite_tokens(kept, key, lemma_map(words, lexicon, exceptions), "lemma")
+    return rewrite_tokens(kept, key, stem_map(words, language), "stem")
 
 
 def clean_corpus(df: DataFrame, key: str, text: str, language: str = "english", project: bool = False,
@@ -111,9 +133,7 @@ def clean_corpus(df: DataFrame, key: str, text: str, language: str = "english",
     """``(key, tokens)``: the whole cleaning chain, null and blank text as its own word."""
     words = cleaning.stopwords(language, project, algorithm)
     tokens = cleaning.clean_tokens(F.col(text), language, words)
-    rooted = root_tokens(df, key, tokens, language, lexicon, exceptions)
-    blank = df.select(key, cleaning.is_blank(F.col(text)).alias("__blank"))
+    rooted = root_tokens(df, key, tokens, language, lexicon, exceptions, __blank=cleaning.is_blank(F.col(text)))
     missing = F.array(F.lit(lexicons.MISSING_TEXT))
-    return (rooted.join(blank, key)
-            .select(key, F.when(F.col("__blank") | (F.size("tokens") == 0), missing)
-                    .otherwise(F.col("tokens")).alias("tokens")))
+    return rooted.select(key, F.when(F.col("__blank") | (F.size("tokens") == 0), missing)
+                         .otherwise(F.col("tokens")).alias("tokens"))

@@ -26,16 +26,24 @@ def clean_null_sentinel(t):
     return t.texts.select("doc_id", cleaning.null_sentinel(text).alias("clean"))
 
 
-_EMOJI = ["😍", "👎", "❤️", "🔥"]
+# Every entry of the table, then toned, styled, flag and keycap forms; two neighbours of the list stand side by side.
+_EMOJI = [*lexicons.EMOJI_NAMES, "👍🏽", "❤️", "🇪🇸", "🇺🇸", "🇸🇺", "1️⃣", "#⃣"]
+_SPELLED = {"🇪🇸": "flag es", "🇺🇸": "flag us", "🇸🇺": "flag su", "1️⃣": "keycap 1", "#⃣": "keycap #"}
 
 
-@query("emoji_to_words", f"""
-SELECT doc_id, {prepared("text || ' user_id ' || [" + words(_EMOJI) + "][(doc_id % 4) + 1]", emoji=True)} AS clean
-FROM documents""")
+def _emoji_sql() -> str:
+    symbols = f"[{words(_EMOJI)}]"
+    end = [f"{symbols}[(doc_id + {i}) % {len(_EMOJI)} + 1]" for i in (0, 1)]
+    for symbol, name in _SPELLED.items():
+        end = [f"replace({e}, {quote(symbol)}, {quote(f' {name} ')})" for e in end]
+    return prepared(f"text || ' user_id ' || {end[0]} || {end[1]}", emoji=True)
+
+
+@query("emoji_to_words", f"SELECT doc_id, {_emoji_sql()} AS clean FROM documents")
 def emoji_to_words(t):
-    symbol = F.element_at(F.array(*[F.lit(e) for e in _EMOJI]), (F.col("doc_id") % 4 + 1).cast("int"))
-    text = F.concat("text", F.lit(" user_id "), symbol)
-    return t.texts.select("doc_id", cleaning.prepare(text).alias("clean"))
+    symbols = F.array(*[F.lit(e) for e in _EMOJI])
+    end = [F.element_at(symbols, ((F.col("doc_id") + i) % len(_EMOJI) + 1).cast("int")) for i in (0, 1)]
+    return t.texts.select("doc_id", cleaning.prepare(F.concat("text", F.lit(" user_id "), *end)).alias("clean"))
 
 
 @query("expand_contractions", f"""

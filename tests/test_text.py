@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from opinara.functions import cleaning, replies
+from opinara.functions import cleaning, lexicons, replies
 from opinara.functions.stemming import add_stem
 from opinara.operators import lookup, vectorize, words
 
@@ -41,6 +41,25 @@ def test_unknown_emoji_uses_its_character_name(spark):
     assert "unicorn face" in one(spark, "a 🦄 b", cleaning.emoji_to_words)
 
 
+@pytest.mark.parametrize("text, names, expected", [
+    ("⭐", None, "star"), ("⏰", None, "alarm clock"), ("👍🏽👍", None, "thumbs up medium skin tone thumbs up"),
+    ("a🇪🇸🇺🇸b", None, "a flag es flag us b"), ("🇸🇺 🇪🇸🇺🇸", None, "flag su flag es flag us"),
+    ("1️⃣ 2 #⃣", None, "keycap 1 2 keycap #"), ("❤️‍🔥", None, "red heart fire"), ("plain text 12", None, "plain text 12"), ("", None, ""),
+    ("❤️‍🔥 ❤️ 🇪🇸", {"❤️‍🔥": "heart on fire", "❤️": "red heart", "🇪🇸": "Spain"}, "heart on fire red heart spain"),
+    ("fine (c) :)", {":)": "smile", "(c)": "c in brackets"}, "fine c in brackets smile"),
+])
+def test_emoji_longest_first(spark, text, names, expected):
+    assert " ".join(one(spark, text, lambda c: cleaning.emoji_to_words(c, names)).split()) == expected
+
+
+def test_every_emoji_of_the_table(spark):
+    rows = [(symbol, name) for symbol, name in lexicons.EMOJI_NAMES.items()]
+    df = spark.createDataFrame(rows, "symbol string, name string")
+    for r in df.withColumn("got", cleaning.emoji_to_words(F.concat(F.lit("x"), "symbol", "symbol"))).collect():
+        assert r["got"].split() == ["x", *(r["name"].lower().replace("-", " ").split() * 2)]
+    assert df.select(cleaning.emoji_to_words(F.lit(None).cast("string")).alias("v")).first()["v"] is None
+
+
 def test_ngrams(spark):
     df = spark.createDataFrame([(1, ["aa", "b", "cc", "dd"]), (2, ["aa"]), (3, [])], "k int, t array<string>")
     got = {r["k"]: r["grams"] for r in vectorize.gram_column(df, F.col("t"), 3).collect()}
@@ -55,6 +74,18 @@ def test_lemmas(spark):
     assert got[2] == ["desconocido"]
 
 
+def test_rewriting_in_pieces(spark):
+    """Texts of no, one and several pieces, repeated and null tokens' texts, and a repeated key."""
+    long = [f"w{i % 700}" for i in range(3 * words.PIECE + 5)]
+    rows = [(1, long), (2, []), (3, ["w1", "stay", "w1"]), (4, ["stay"]), (3, ["w2"])]
+    kept = spark.createDataFrame(rows, "k int, tokens array<string>")
+    mapping = spark.createDataFrame([(f"w{i}", f"v{i}" if i % 2 else f"w{i}", 1) for i in range(700)] + [("stay", "stay", 1)],
+                                    "word string, lemma string, n long")
+    new = lambda w: "v" + w[1:] if w[0] == "w" and int(w[1:]) % 2 else w
+    got = sorted((r["k"], r["tokens"]) for r in words.rewrite_tokens(kept, "k", mapping, "lemma").collect())
+    assert got == sorted((k, [new(w) for w in t]) for k, t in rows)
+
+
 def test_lemma_exceptions_and_lexicon(spark):
     df = spark.createDataFrame([("feet", 1), ("dogs", 1), ("cats", 1)], "word string, n long")
     lexicon = spark.createDataFrame([("dog",), ("foot",)], "word string")
