@@ -177,7 +177,7 @@ def pooled(words: Words, contexts: np.ndarray, texts: list[list[str]]) -> np.nda
         part[:, :WIDTH] = index[:n]
         part[:, WIDTH:2 * WIDTH] = padded[row]
         for lag in range(1, LAGS + 1):
-            m = min(n, len(codes) - lag)
+            m = max(0, min(n, len(codes) - lag))  # the last places may be fewer than the lag
             part[:m, 2 * WIDTH + lag - 1] = np.einsum("ij,ij->i", index[:m], index[lag:lag + m])
         part[:, -2] = row >= 0
         first = np.searchsorted(starts, at, side="right") - 1

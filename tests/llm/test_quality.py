@@ -62,6 +62,15 @@ def test_pooling_against_loops(monkeypatch):
         assert np.allclose(row, want, atol=1e-5)
 
 
+def test_pooling_at_any_cut(monkeypatch):
+    """The places left for the last cut may be fewer than the words compared."""
+    split = [t.split() for t in ["a b c a a d", "", "x", "b a"]]
+    whole = quality.pooled(quality.Words(), np.zeros((0, quality.WIDTH), np.float32), split)
+    for n in range(1, sum(map(len, split)) + quality.GAP * len(split)):
+        monkeypatch.setattr(quality, "PLACES_AT_ONCE", n)
+        assert np.allclose(quality.pooled(quality.Words(), np.zeros((0, quality.WIDTH), np.float32), split), whole, atol=1e-6)
+
+
 def test_gradient():
     random = np.random.default_rng(3)
     x, y, importance = random.standard_normal((9, quality.FEATURES)), random.integers(0, 2, 9).astype(float), random.random(9) + 0.5
