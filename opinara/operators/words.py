@@ -94,7 +94,8 @@ def rewrite_tokens(kept: DataFrame, key: str, mapping: DataFrame, out: str) -> D
     stand in; a text gets its changes as small maps and its array never leaves
     its row, so no token position is shuffled.
     """
-    changed = materialize(mapping.where(F.col(out) != F.col("word")).select("word", out, "n"), "word-map")
+    # Written before it is filtered: a filter moved below the steps of a stem would repeat each step in the next, without bound.
+    changed = materialize(mapping.select("word", out, "n"), "word-map").where(F.col(out) != F.col("word"))
     pieces = F.transform(F.sequence(F.lit(0), F.floor((F.size("tokens") - 1) / PIECE).cast("int")),
                          lambda i: F.array_distinct(F.slice("tokens", i * PIECE + 1, PIECE)))
     found = (kept.where(F.size("tokens") > 0).select(key, F.posexplode(pieces).alias("piece", "words"))
