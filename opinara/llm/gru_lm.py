@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from opinara.llm.batches import Lanes, groups
 from opinara.llm.chunks import chunk_texts, indexes_of, unpack_tokens, with_values
 from opinara.llm.common import fold
-from opinara.llm.gru import Adam, step, step_back
+from opinara.llm.gru import Adam, step
 from opinara.session import materialize
 
 #: Words with an output of their own, in classes of equal size; the end of a text is one of them.
@@ -34,7 +34,8 @@ START = VOCABULARY + RARE_BUCKETS
 EMBEDDING, HIDDEN = 16, 16
 #: Steps of truncated backpropagation, lanes, and rounds of averaging.
 WINDOW, LANES, ROUNDS, RATE, SEED = 32, 64, 2, 0.01, 42
-TOKENS_AT_ONCE = 400_000
+#: Tokens that are laid side by side for scoring, and tokens whose outputs are made at once, few enough for a core's cache.
+TOKENS_AT_ONCE, OUTPUTS_AT_ONCE = 400_000, 8192
 SMOOTH = 0.1
 
 
@@ -72,42 +73,57 @@ def unflatten(flat: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def normalise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per column: exponentials of the entries less their largest, the sum of these, and the log of the sum of exponentials."""
+    most = x.max(axis=0)
+    e = np.exp(x - most)
+    total = e.sum(axis=0)
+    return e, total, np.log(total) + most
 
 
 def output(weights: dict[str, np.ndarray], states: np.ndarray, target: np.ndarray, back: bool = False):
     """Natural log of P(class) P(word | class) per token; a rare word stops at its class. With ``back``, the
     gradient of the mean negative log-likelihood too."""
     cls = np.minimum(target // CLASS_SIZE, CLASSES)  # every id from VOCABULARY on is rare
-    by_class = log_softmax(states @ weights["class"] + weights["class_bias"])
-    at = np.arange(len(target))
-    logp = by_class[at, cls].astype(np.float64)
-    if back:
-        n = len(target)
-        g = {k: np.zeros_like(weights[k]) for k in ("class", "class_bias", "word", "word_bias")}
-        d = np.exp(by_class)
-        d[at, cls] -= 1
-        d /= n
-        g["class"], g["class_bias"] = states.T @ d, d.sum(axis=0)
-        dstates = d @ weights["class"].T
-    order = np.argsort(cls, kind="stable")
-    cuts = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        mine = order[cuts[c]:cuts[c + 1]]
-        if not len(mine):
-            continue
-        inner = log_softmax(states[mine] @ weights["word"][c] + weights["word_bias"][c])
-        word = target[mine] - c * CLASS_SIZE
-        logp[mine] += inner[np.arange(len(mine)), word]
-        if back:
-            d = np.exp(inner)
-            d[np.arange(len(mine)), word] -= 1
-            d /= n
-            g["word"][c], g["word_bias"][c] = states[mine].T @ d, d.sum(axis=0)
-            dstates[mine] += d @ weights["word"][c].T
-    return (logp, dstates, g) if back else logp
+    # In order of class, so that each class is one slice and all but its products is done at once; tokens are columns.
+    order = np.argsort(cls.astype(np.uint8), kind="stable")
+    cls, states = cls[order], states.T[:, order]
+    cuts = np.searchsorted(cls, np.arange(CLASSES + 1)).tolist()
+    mine = [(c, slice(x, y)) for c, (x, y) in enumerate(zip(cuts, cuts[1:])) if x < y]
+    n, n_words = len(cls), cuts[-1]
+    at, own = np.arange(n), cls[:n_words]
+    word = target[order[:n_words]] - own * CLASS_SIZE
+    x_class = weights["class"].T @ states
+    x_class += weights["class_bias"][:, None]
+    e_class, total_class, norm = normalise(x_class)
+    found = (x_class[cls, at] - norm).astype(np.float64)
+    x_word = np.empty((CLASS_SIZE, n_words), x_class.dtype)
+    for c, part in mine:
+        x = np.matmul(weights["word"][c].T, states[:, part], out=x_word[:, part])
+        x += weights["word_bias"][c][:, None]
+    e_word, total_word, norm = normalise(x_word)
+    found[:n_words] += x_word[word, at[:n_words]] - norm
+    logp = np.empty(n)
+    logp[order] = found
+    if not back:
+        return logp
+    g = {k: np.zeros_like(weights[k]) for k in ("word", "word_bias")}
+    d = e_class
+    d /= total_class * n
+    d[cls, at] -= 1 / n
+    g["class"], g["class_bias"] = states @ d.T, d.sum(axis=1)
+    sorted_back = weights["class"] @ d
+    d = e_word
+    d /= total_word * n
+    d[word, at[:n_words]] -= 1 / n
+    for c, part in mine:
+        np.matmul(states[:, part], d[:, part].T, out=g["word"][c])
+        sorted_back[:, part] += weights["word"][c] @ d[:, part]
+    if mine:
+        g["word_bias"][[c for c, _ in mine]] = np.add.reduceat(d, [part.start for _, part in mine], axis=1).T
+    dstates = np.empty_like(sorted_back)
+    dstates[:, order] = sorted_back
+    return logp, dstates.T, g
 
 
 def inputs_of(target: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -119,27 +135,69 @@ def inputs_of(target: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 def window_gradient(weights, read: np.ndarray, target: np.ndarray, first: np.ndarray, state: np.ndarray):
-    """Loss, gradient and last state of one window (steps x lanes); nothing flows back beyond it."""
-    steps, lanes = read.shape
+    """Loss, gradient and last state of one window (steps x lanes); nothing flows back beyond it.
+
+    Inside, units come before lanes, so that a gate is one run of memory, and
+    what does not wait for the step before is done for all steps at once.
+    """
+    (steps, lanes), kind, width = read.shape, weights["state"].dtype, HIDDEN
     gates = weights["embed"] @ weights["in"] + weights["bias"]
-    states, kept = np.empty((steps, lanes, HIDDEN), np.float32), []
+    # A sigmoid is half a tanh of half its argument, and a half; halves are exact.
+    half = np.repeat(np.array([0.5, 1], kind), [2 * width, width])
+    u, starts, keep = np.ascontiguousarray((weights["state"] * half).T), first.any(axis=1), (~first).astype(kind)
+    read_gates = np.ascontiguousarray((gates * half)[read].transpose(0, 2, 1))
+    sums, zr, c = np.empty_like(read_gates), np.empty((steps, 2 * width, lanes), kind), np.empty((steps, width, lanes), kind)
+    after, move = np.empty((steps + 1, width, lanes), kind), np.empty((width, lanes), kind)
+    after[0] = state.T
     for t in range(steps):
-        state = np.where(first[t][:, None], np.float32(0), state)
-        state, memory = step(state, gates[read[t]], weights["state"])
-        states[t] = state
-        kept.append(memory)
-    logp, dstates, g = output(weights, states.reshape(-1, HIDDEN), target.ravel(), back=True)
-    dstates = dstates.reshape(states.shape)
-    dgates, dh = np.zeros_like(gates), np.zeros((lanes, HIDDEN), np.float32)
-    g["state"] = np.zeros_like(weights["state"])
+        h, a, both, now = after[t], sums[t], zr[t], c[t]
+        if starts[t]:
+            h = h * keep[t]
+        np.matmul(u, h, out=a)
+        np.add(read_gates[t, :2 * width], a[:2 * width], out=both)
+        np.tanh(both, out=both)
+        both *= 0.5
+        both += 0.5
+        np.multiply(both[width:], a[2 * width:], out=now)
+        now += read_gates[t, 2 * width:]
+        np.tanh(now, out=now)
+        np.subtract(h, now, out=move)
+        move *= both[:width]
+        np.add(now, move, out=after[t + 1])
+    by_unit = lambda x: x.transpose(1, 0, 2).reshape(x.shape[1], -1)
+    logp, dstates, g = output(weights, by_unit(after[1:]).T, target.ravel(), back=True)
+    dstates = np.ascontiguousarray(dstates.T.reshape(width, steps, lanes).transpose(1, 0, 2))
+    before, last = after[:-1], after[-1].T.copy()
+    before[starts] *= keep[starts][:, None]
+    z, r, q = zr[:, :width], zr[:, width:], sums[:, 2 * width:]
+    # What a state's gradient is multiplied by: for candidate, update, reset and recurrent candidate, and for the state before.
+    factor = np.empty((steps, 5, width, lanes), kind)
+    factor[:, 4] = z
+    rest = 1 - z
+    np.multiply(rest, 1 - c * c, out=factor[:, 0])
+    rest *= z
+    np.multiply(before - c, rest, out=factor[:, 1])
+    np.multiply(factor[:, 0], r, out=factor[:, 3])
+    np.multiply(factor[:, 3], q * (1 - r), out=factor[:, 2])
+    dh, flat = np.zeros((width, lanes), kind), factor.reshape(steps, 5 * width, lanes)
     for t in reversed(range(steps)):
-        dh, dgate, du = step_back(dh + dstates[t], kept[t], weights["state"])
-        dh = np.where(first[t][:, None], np.float32(0), dh)
-        g["state"] += du
-        np.add.at(dgates, read[t], dgate)
+        dh += dstates[t]
+        factor[t] *= dh
+        np.matmul(weights["state"], flat[t, width:4 * width], out=dh)
+        dh += factor[t, 4]
+        if starts[t]:
+            dh *= keep[t]
+    flat = by_unit(flat[:, :4 * width])
+    g["state"] = by_unit(before) @ flat[width:].T
+    # The gradients of the places that read the same word are added up in one pass.
+    order = np.argsort(read.ravel().astype(np.uint16), kind="stable")
+    words = read.ravel()[order]
+    cuts = np.flatnonzero(np.append(True, words[1:] != words[:-1]))
+    dgates = np.zeros_like(gates)
+    dgates[words[cuts]] = np.add.reduceat(np.ascontiguousarray(np.roll(flat[:3 * width], -width, axis=0).T)[order], cuts, axis=0)
     g["in"], g["bias"] = weights["embed"].T @ dgates, dgates.sum(axis=0)
     g["embed"] = dgates @ weights["in"].T
-    return -logp.mean(), g, state
+    return -logp.mean(), g, last
 
 
 def learn(weights: dict[str, np.ndarray], target: np.ndarray, lengths: np.ndarray) -> dict[str, np.ndarray]:
@@ -178,8 +236,8 @@ def score(weights: dict[str, np.ndarray], target: np.ndarray, lengths: np.ndarra
             state = np.where(lanes.first[t, :k, None], np.float32(0), state[:k])
             state, _ = step(state, gates[read[place]], weights["state"])
             states[place] = state
-        logp = np.concatenate([output(weights, states[a:a + 65536], own[a:a + 65536])
-                               for a in range(0, len(own), 65536)])
+        logp = np.concatenate([output(weights, states[a:a + OUTPUTS_AT_ONCE], own[a:a + OUTPUTS_AT_ONCE])
+                               for a in range(0, len(own), OUTPUTS_AT_ONCE)])
         out[group] = np.add.reduceat(logp, np.cumsum(n) - n)
     return out
 

@@ -68,6 +68,22 @@ def test_whole_text_likelihood():
     assert np.exp(gru_lm.output(weights, np.repeat(state, len(every), 0), every)).sum() == pytest.approx(1, rel=1e-4)
 
 
+def test_window_loss_is_that_of_whole_texts():
+    """A window over one text a lane, of which some classes and words do not occur, loses what scoring finds."""
+    rng = np.random.default_rng(4)
+    weights = {k: v * 5 for k, v in gru_lm.fresh_weights().items()}
+    for most in (1088, 40, 1):
+        target = rng.integers(1024 if most == 1 else 0, 1024 + most if most == 1 else most, (9, 7))
+        target[8] = gru_lm.END
+        read = np.stack([gru_lm.inputs_of(column, np.array([9])) for column in target.T], axis=1)
+        first = np.zeros((9, 7), bool)
+        first[0] = True
+        loss, gradient, state = gru_lm.window_gradient(weights, read, target, first, np.ones((7, gru_lm.HIDDEN), np.float32))
+        assert loss == pytest.approx(-gru_lm.score(weights, target.T.ravel(), np.full(7, 9)).sum() / 63, rel=1e-5)
+        assert state.shape == (7, gru_lm.HIDDEN) and {k: g.shape for k, g in gradient.items()} == {
+            k: w.shape for k, w in weights.items()}
+
+
 def test_language_model(spark, monkeypatch):
     monkeypatch.setattr(chunks, "CHUNK_CHARS", 5000)
     rng = np.random.default_rng(2)
