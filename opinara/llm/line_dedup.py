@@ -28,7 +28,7 @@ LEADERS, MOST_LEADERS = 8, 1024
 #: Characters of a shingle.
 SHINGLE = 9
 #: Shingles of a piece and of a piece of it: a place in a text is found by reading it from its start, so long lines are cut twice.
-PIECES = 4096, 64
+PIECES = 4096, 32
 #: 64-bit words of a sketch.
 SKETCH = 8
 
