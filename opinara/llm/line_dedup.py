@@ -2,7 +2,7 @@
 
 Equal lines are joined first. Every distinct line has a set of character
 shingles: nine characters from every place of the line (words joined by one
-space), as 64-bit hashes. Minima of seeded hashes are banded; inside a band's bucket a few leaders at a time are compared, by exact
+space), as 64-bit hashes. Their minima under masks are banded; inside a band's bucket a few leaders at a time are compared, by exact
 Jaccard similarity, with the lines not yet connected to them, until what is left
 is known to be connected, so no connection is lost and a group of copies costs
 a few rows a line instead of all its pairs. Linked lines form components by
@@ -23,12 +23,17 @@ from opinara.session import materialize
 SIMILARITY = 80
 #: At 0.8 a pair shares a band with probability 1 - (1 - 0.8 ** 3) ** 6 = 0.986.
 BANDS, ROWS = 6, 3
+#: A hash met with a mask keeps all its chance, and its least is a shingle near the mask; the masks of a band lie side by side and
+#: the bands apart, so a short line's bands, too, follow different shingles.
+MASKS = [((i * 2 + 1 << 64) // (2 * BANDS * ROWS)) - (1 << 63) for i in range(BANDS * ROWS)]
 #: Leaders of a bucket in the first round; every further one has twice as many, up to the second number.
 LEADERS, MOST_LEADERS = 8, 1024
 #: Characters of a shingle.
 SHINGLE = 9
-#: Shingles of a piece and of a piece of it: a place in a text is found by reading it from its start, so long lines are cut twice.
-PIECES = 4096, 32
+#: Bytes of a character as it is cut, the same for all, so that a place is found without reading what is before it.
+WIDE = 4
+#: Shingles of a piece, so that a long line's places are not listed all at once.
+PIECE = 4096
 #: 64-bit words of a sketch.
 SKETCH = 8
 
@@ -49,30 +54,34 @@ def folded(line: Column) -> Column:
     return F.when(uneven, F.regexp_replace(trimmed, SPACE_CLASS + "+", " ")).otherwise(trimmed)
 
 
-def starts(text: Column, step: int = 1) -> Column:
-    """Every ``step``-th place (from 0) at which a shingle begins; a shorter text is one shingle."""
-    return F.sequence(F.lit(0), F.greatest(F.length(text) - SHINGLE, F.lit(0)), F.lit(step))
+def wide(line: Column) -> Column:
+    """The folded line with ``WIDE`` bytes for every character."""
+    return F.encode(folded(line), "UTF-32")
 
 
-def pieces(text: Column, step: int) -> Column:
-    """The text cut so that every shingle lies in exactly one piece, ``step`` of them in each."""
-    return F.transform(starts(text, step), lambda i: text.substr(i + 1, F.lit(step + SHINGLE - 1)))
+def starts(text: Column, step: int = 1) -> Column:
+    """Every ``step``-th place (in bytes, from 1) of a wide text at which a shingle begins; a shorter text is one shingle."""
+    return F.sequence(F.lit(1), F.greatest(F.octet_length(text) - (SHINGLE * WIDE - 1), F.lit(1)), F.lit(step * WIDE))
 
 
 def shingle_at(text: Column, place: Column) -> Column:
-    return F.xxhash64(text.substr(place + 1, F.lit(SHINGLE)))
+    return F.xxhash64(F.substring(text, place, F.lit(SHINGLE * WIDE)))
+
+
+def hashes(line: Column) -> Column:
+    """The 64-bit hashes of the nine characters at every place of the line."""
+    # A text that a function's inner step reads is made once where it comes as that function's argument.
+    return F.get(F.transform(F.array(wide(line)), lambda text: F.transform(starts(text), lambda i: shingle_at(text, i))), F.lit(0))
 
 
 def shingles(line: Column) -> Column:
-    """The distinct 64-bit hashes of the nine characters at every place of the line."""
-    hashes = lambda text: F.transform(starts(text), lambda i: shingle_at(text, i))
-    short = lambda text: F.flatten(F.transform(pieces(text, PIECES[1]), hashes))
-    return F.array_distinct(F.flatten(F.transform(pieces(folded(line), PIECES[0]), short)))
+    """The distinct ones."""
+    return F.array_distinct(hashes(line))
 
 
-def alike(x: Column, y: Column) -> Column:
-    """Whether two sets reach the Jaccard similarity."""
-    return F.size(F.array_intersect(x, y)) * (100 + SIMILARITY) >= (F.size(x) + F.size(y)) * SIMILARITY
+def alike(x: Column, size_x: Column, y: Column, size_y: Column) -> Column:
+    """Whether two lists reach the Jaccard similarity of their sets, which have these sizes."""
+    return F.size(F.array_intersect(x, y)) * (100 + SIMILARITY) >= (size_x + size_y) * SIMILARITY
 
 
 def sizes_allow(x: Column, y: Column) -> Column:
@@ -95,29 +104,29 @@ def sketches_allow(x: Column, size_x: Column, y: Column, size_y: Column) -> Colu
 
 
 def band_keys(lines: DataFrame) -> DataFrame:
-    """``line_id, key``: one number per band from the minima of its seeded hashes.
+    """``line_id, key``: one number per band from the minima of its masked hashes.
 
     A line's shingles are exploded and their minima grouped, which stays in
     compiled code and combines before the shuffle.
     """
-    cut = lines.select("line_id", folded(F.col("line")).alias("line"))
-    for step in PIECES:
-        cut = cut.select("line_id", F.explode(pieces(F.col("line"), step)).alias("line"))
-    hashed = (cut.select("line_id", "line", F.explode(starts(F.col("line"))).alias("at"))
-              .select("line_id", shingle_at(F.col("line"), F.col("at")).alias("h")))
+    text = lines.select("line_id", wide(F.col("line")).alias("text"))
+    cut = (text.select("line_id", "text", F.explode(starts(F.col("text"), PIECE)).alias("at"))
+           .select("line_id", F.substring("text", F.col("at"), F.lit((PIECE + SHINGLE - 1) * WIDE)).alias("text")))
+    hashed = (cut.select("line_id", "text", F.explode(starts(F.col("text"))).alias("at"))
+              .select("line_id", shingle_at(F.col("text"), F.col("at")).alias("h")))
     least = hashed.groupBy("line_id").agg(
-        *[F.min(F.xxhash64("h", F.lit(i))).alias(f"m{i}") for i in range(BANDS * ROWS)])
+        *[F.min(F.col("h").bitwiseXOR(F.lit(mask))).alias(f"m{i}") for i, mask in enumerate(MASKS)])
     keys = [F.xxhash64(F.lit(b), *[f"m{i}" for i in range(b * ROWS, (b + 1) * ROWS)]) for b in range(BANDS)]
     return least.select("line_id", F.explode(F.array(*keys)).alias("key"))
 
 
 def similar(pairs: DataFrame, lines: DataFrame) -> DataFrame:
-    """Of the pairs ``a, b`` those whose sets reach the similarity; sets are cut where two lines meet, as text is smaller."""
+    """Of the pairs ``a, size_a, b, size_b`` those whose sets reach the similarity; lines are cut where two meet, as text is smaller."""
     counted = pairs.groupBy("a").agg(F.count("b").alias("n"))
     leaders = counted.join(lines.withColumnsRenamed({"line_id": "a", "line": "line_a"}), "a")
     met = pairs.join(lines.withColumnsRenamed({"line_id": "b", "line": "line_b"}), "b")
     both = look_up(met, leaders, ["a"], "n", pairs.count())
-    return both.where(alike(shingles(F.col("line_a")), shingles(F.col("line_b")))).select("a", "b")
+    return both.where(alike(hashes(F.col("line_a")), F.col("size_a"), hashes(F.col("line_b")), F.col("size_b"))).select("a", "b")
 
 
 def line_roots(lines: DataFrame) -> DataFrame:
@@ -152,7 +161,8 @@ def line_roots(lines: DataFrame) -> DataFrame:
         met = look_up(state, leaders, ["key"], "n", total)
         others = F.filter("leaders", lambda l: (l["label"] != mine) & sizes_allow(l["size"], F.col("size")) & sketches_allow(
             l["sketch"], l["size"], F.col("sketch"), F.col("size")))
-        tried = met.select(F.col("line_id").alias("b"), F.explode(F.transform(others, lambda l: l["id"])).alias("a"))
+        tried = met.select(F.col("line_id").alias("b"), F.col("size").alias("size_b"), F.inline(F.transform(
+            others, lambda l: F.struct(l["id"].alias("a"), l["size"].alias("size_a")))))
         pairs = materialize(tried.distinct(), "line-pairs")
         links = materialize(similar(pairs, texts), "line-links")
         if not links.isEmpty():
