@@ -1,8 +1,8 @@
 """Fuzzy line deduplication by MinHash. DataFrame functions only.
 
-Equal lines are joined first. Every distinct line has a set of character
+Equal lines meet as one. Every line has a set of character
 shingles: nine characters from every place of the line (words joined by one
-space), as 64-bit hashes. Their minima under masks are banded; inside a band's bucket a few leaders at a time are compared, by exact
+space), as 64-bit hashes. Their minima in classes are banded; inside a band's bucket a few leaders at a time are compared, by exact
 Jaccard similarity, with the lines not yet connected to them, until what is left
 is known to be connected, so no connection is lost and a group of copies costs
 a few rows a line instead of all its pairs. Linked lines form components by
@@ -23,10 +23,10 @@ from opinara.session import materialize
 SIMILARITY = 80
 #: At 0.8 a pair shares a band with probability 1 - (1 - 0.8 ** 3) ** 6 = 0.986.
 BANDS, ROWS = 6, 3
-#: A hash met with a mask keeps all its chance, and its least is a shingle near the mask; the masks of a band lie side by side and
-#: the bands apart, so a short line's bands, too, follow different shingles.
-MASKS = [((i * 2 + 1 << 64) // (2 * BANDS * ROWS)) - (1 << 63) for i in range(BANDS * ROWS)]
-#: Leaders of a bucket in the first round; every further one has twice as many, up to the second number.
+#: Classes of hashes, one for each minimum, so that a hash meets one minimum only. Where a line has no hash of a class, the nearest
+#: class that has one stands in; those of a band lie side by side, so a short line's bands follow different shingles.
+CLASSES = BANDS * ROWS
+#: Leaders of a bucket in the first round; every further one has four times as many, up to the second number.
 LEADERS, MOST_LEADERS = 8, 1024
 #: Characters of a shingle.
 SHINGLE = 9
@@ -42,6 +42,10 @@ def lines_of(text: Column) -> Column:
     return F.split(text, "\n")
 
 
+def digest_of(line: Column) -> Column:
+    return F.unhex(F.md5(line))
+
+
 def has_word(line: Column) -> Column:
     return F.ltrim(line, F.lit(SPACES)) != ""
 
@@ -91,9 +95,10 @@ def sizes_allow(x: Column, y: Column) -> Column:
 
 def sketches(lines: DataFrame) -> DataFrame:
     """``line_id, size, sketch``: the distinct hashes, and for each of 64 * SKETCH classes whether their number is odd."""
-    bit, word = F.expr("shiftleft(1L, int(h & 63))"), F.shiftrightunsigned("h", 6).bitwiseAND(F.lit(SKETCH - 1))
-    words = [F.coalesce(F.bit_xor(F.when(word == i, bit)), F.lit(0).cast("long")) for i in range(SKETCH)]
-    return (lines.select("line_id", F.explode(shingles(F.col("line"))).alias("h")).groupBy("line_id")
+    words = [F.expr(f"coalesce(bit_xor(bit) FILTER (WHERE word = {i}), 0L)") for i in range(SKETCH)]
+    return (lines.select("line_id", F.explode(shingles(F.col("line"))).alias("h"))
+            .select("line_id", "h", F.expr("shiftleft(1L, int(h & 63))").alias("bit"),
+                    F.shiftrightunsigned("h", 6).bitwiseAND(F.lit(SKETCH - 1)).alias("word")).groupBy("line_id")
             .agg(F.count("h").cast("int").alias("size"), F.array(*words).alias("sketch")))
 
 
@@ -104,18 +109,21 @@ def sketches_allow(x: Column, size_x: Column, y: Column, size_y: Column) -> Colu
 
 
 def band_keys(lines: DataFrame) -> DataFrame:
-    """``line_id, key``: one number per band from the minima of its masked hashes.
+    """``line_id, key``: one number per band from the minima of its classes of hashes.
 
     A line's shingles are exploded and their minima grouped, which stays in
-    compiled code and combines before the shuffle.
+    compiled code and combines before the shuffle. The filters leave a hash's
+    other minima untouched.
     """
     text = lines.select("line_id", wide(F.col("line")).alias("text"))
     cut = (text.select("line_id", "text", F.explode(starts(F.col("text"), PIECE)).alias("at"))
            .select("line_id", F.substring("text", F.col("at"), F.lit((PIECE + SHINGLE - 1) * WIDE)).alias("text")))
     hashed = (cut.select("line_id", "text", F.explode(starts(F.col("text"))).alias("at"))
               .select("line_id", shingle_at(F.col("text"), F.col("at")).alias("h")))
-    least = hashed.groupBy("line_id").agg(
-        *[F.min(F.col("h").bitwiseXOR(F.lit(mask))).alias(f"m{i}") for i, mask in enumerate(MASKS)])
+    least = hashed.withColumn("class", F.pmod("h", F.lit(CLASSES))).groupBy("line_id").agg(
+        *[F.expr(f"min(h) FILTER (WHERE class = {i})").alias(f"m{i}") for i in range(CLASSES)])
+    near = lambda i: sorted(range(CLASSES), key=lambda j: (min((j - i) % CLASSES, (i - j) % CLASSES), (j - i) % CLASSES))
+    least = least.select("line_id", *[F.coalesce(*[f"m{j}" for j in near(i)]).alias(f"m{i}") for i in range(CLASSES)])
     keys = [F.xxhash64(F.lit(b), *[f"m{i}" for i in range(b * ROWS, (b + 1) * ROWS)]) for b in range(BANDS)]
     return least.select("line_id", F.explode(F.array(*keys)).alias("key"))
 
@@ -123,14 +131,28 @@ def band_keys(lines: DataFrame) -> DataFrame:
 def similar(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     """Of the pairs ``a, size_a, b, size_b`` those whose sets reach the similarity; lines are cut where two meet, as text is smaller."""
     counted = pairs.groupBy("a").agg(F.count("b").alias("n"))
-    leaders = counted.join(lines.withColumnsRenamed({"line_id": "a", "line": "line_a"}), "a")
-    met = pairs.join(lines.withColumnsRenamed({"line_id": "b", "line": "line_b"}), "b")
+    # Ids go into hash tables, so that texts are not sorted.
+    leaders = lines.withColumnsRenamed({"line_id": "a", "line": "line_a"}).join(counted.hint("shuffle_hash"), "a")
+    met = lines.withColumnsRenamed({"line_id": "b", "line": "line_b"}).join(pairs.hint("shuffle_hash"), "b")
     both = look_up(met, leaders, ["a"], "n", pairs.count())
     return both.where(alike(hashes(F.col("line_a")), F.col("size_a"), hashes(F.col("line_b")), F.col("size_b"))).select("a", "b")
 
 
+def joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``node, root`` after further links ``a, b``: only the roots that these touch are connected anew."""
+    for end in ("a", "b"):
+        known = roots.select(F.col("node").alias(end), F.col("root").alias("own"))
+        links = links.join(known, end, "left").withColumn(end, F.coalesce("own", end)).drop("own")
+    merged = materialize(components(links.select("a", "b"), "line-components"), "line-merged")
+    moved = roots.join(merged.withColumnsRenamed({"root": "to", "node": "root"}), "root", "left")
+    return moved.select("node", F.coalesce("to", "root").alias("root")).unionAll(
+        merged.join(roots, "node", "left_anti").select("node", "root"))
+
+
 def line_roots(lines: DataFrame) -> DataFrame:
-    """``node, root`` of every line of ``line_id, line`` that is linked to another.
+    """``digest, root`` of every line that is linked to another; ``line_id, line`` may repeat a line and comes straight from the texts.
+
+    The id is a hash of the line. Should two lines have the same, one of them stays without links.
 
     Every round compares a few leaders of each bucket with the bucket's lines that
     are not yet connected to them through any bucket; leaders then leave, and so
@@ -139,18 +161,22 @@ def line_roots(lines: DataFrame) -> DataFrame:
     """
     keyed = materialize(band_keys(lines), "line-bands")
     sizes = keyed.groupBy("key").agg(F.count("line_id").alias("n")).where("n > 1")
-    shared = materialize(look_up(keyed, sizes, ["key"], "n", keyed.count()).where("n is not null")
+    # Few keys have two lines: a hash table of them spares sorting all others.
+    shared = materialize(look_up(keyed, sizes.hint("shuffle_hash"), ["key"], "n", keyed.count()).where("n is not null")
                          .select("key", "line_id"), "line-shared")
-    # Most lines share no bucket; those that do are read by every round.
-    texts = materialize(lines.join(shared.select("line_id").distinct(), "line_id").select("line_id", "line"), "line-texts")
+    # Most lines share no bucket; those that do are read by every round. Only they are sorted to leave one of equal lines.
+    copies = lines.groupBy("line_id").agg(F.count("line_id").alias("n"))
+    copies = materialize(copies.join(shared.select("line_id").distinct(), "line_id"), "line-copies")
+    texts = materialize(look_up(lines, copies.hint("shuffle_hash"), ["line_id"], "n", max(1, lines.count())).where("n is not null")
+                        .groupBy("line_id").agg(F.min("line").alias("line")), "line-texts")
     # ``label``: the root of a line that is linked, null for others.
     state = materialize(shared.join(sketches(texts), "line_id").select(
         "key", "line_id", "size", "sketch", F.lit(None).cast("long").alias("label")), "line-state")
-    roots = lines.select(F.col("line_id").alias("node"), F.col("line_id").alias("root")).where("false")
+    roots = texts.select(F.col("line_id").alias("node"), F.col("line_id").alias("root")).where("false")
     mine, a_round = F.coalesce("label", "line_id"), 0
     while total := state.count():
-        # More leaders a round instead of more rounds: at most twice the comparisons that are needed anyway.
-        places = min(LEADERS << a_round, MOST_LEADERS)
+        # More leaders a round instead of more rounds: at most four times the comparisons that are needed anyway.
+        places = min(LEADERS << 2 * a_round, MOST_LEADERS)
         best = (state.groupBy("key", F.pmod(F.xxhash64("line_id", F.lit(a_round)), F.lit(places)).alias("place"))
                 .agg(F.min(F.struct(F.col("label").isNotNull().alias("x"), "line_id", "label", "size", "sketch")).alias("l"),
                      F.count("line_id").alias("n")))
@@ -166,7 +192,7 @@ def line_roots(lines: DataFrame) -> DataFrame:
         pairs = materialize(tried.distinct(), "line-pairs")
         links = materialize(similar(pairs, texts), "line-links")
         if not links.isEmpty():
-            roots = materialize(components(links.unionAll(roots.select("node", "root")), "line-components"), "line-roots")
+            roots = materialize(joined(roots, links), "line-roots")
         left = met.where(~F.exists("leaders", lambda l: l["id"] == F.col("line_id"))).select("key", "line_id", "size", "sketch")
         left = materialize(left.join(roots.withColumnsRenamed({"node": "line_id", "root": "label"}), "line_id", "left")
                            .select("key", "line_id", "size", "sketch", "label"), "line-state")
@@ -175,7 +201,7 @@ def line_roots(lines: DataFrame) -> DataFrame:
         state = materialize(look_up(left, open_.select("key", "n"), ["key"], "n", max(1, left.count()))
                             .where("n is not null").select("key", "line_id", "size", "sketch", "label"), "line-state")
         a_round += 1
-    return roots
+    return texts.join(roots.withColumnRenamed("node", "line_id"), "line_id").select(digest_of(F.col("line")).alias("digest"), "root")
 
 
 def fuzzy_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -187,23 +213,22 @@ def fuzzy_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     rows give none; other columns are ignored.
     """
     text = text_or_empty(text_column)
-    digest = lambda line: F.when(has_word(line), F.unhex(F.md5(line)))
+    digest = lambda line: F.when(has_word(line), digest_of(line))
     rows = materialize(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_column).alias("id"),
                                    F.transform(lines_of(text), digest).alias("digests")), "line-digests")
     places = rows.select("row", "id", F.posexplode("digests").alias("at", "digest")).where("digest is not null")
     order = F.struct(F.col("id").isNull().alias("x"), F.col("id").alias("id"), F.col("row").alias("row"), F.col("at").alias("at"))
-    known = places.groupBy("digest").agg(F.min(order).alias("first"), F.count("at").alias("n"))
-    texts = docs.select(F.explode(lines_of(text)).alias("line")).where(has_word(F.col("line")))
-    texts = texts.groupBy(F.unhex(F.md5("line")).alias("digest")).agg(F.min("line").alias("line"))
-    lines = materialize(texts.join(known, "digest").withColumn("line_id", F.monotonically_increasing_id()), "lines")
-    roots = line_roots(lines).withColumnRenamed("node", "line_id")
+    # Texts are cut into lines again where these are hashed: no table of all lines is written or shuffled.
+    lines = docs.select(F.explode(lines_of(text)).alias("line")).where(has_word(F.col("line")))
+    roots = line_roots(lines.select(F.xxhash64("line").alias("line_id"), "line"))
     # Only lines with a copy or a link can lose a place.
-    grouped = lines.select("line_id", "digest", "first", "n").join(roots, "line_id", "left").where(
-        "n > 1 or root is not null").withColumn("root", F.coalesce("root", "line_id"))
-    keep = grouped.groupBy("root").agg(F.min("first").alias("keep"))
-    table = materialize(grouped.join(keep, "root").select("digest", "n", "keep"), "line-keepers")
+    known = places.groupBy("digest").agg(F.min(order).alias("first"), F.count("at").alias("n"))
+    grouped = materialize(known.join(roots, "digest", "left").where("n > 1 or root is not null"), "line-grouped")
+    keep = grouped.where("root is not null").groupBy("root").agg(F.min("first").alias("keep"))
+    table = materialize(grouped.join(keep, "root", "left").select("digest", "n", F.coalesce("keep", "first").alias("keep")),
+                        "line-keepers")
     total = places.count()
-    gone = (look_up(places.select("row", "at", "digest"), table, ["digest"], "n", total)
+    gone = (look_up(places.select("row", "at", "digest"), table.hint("shuffle_hash"), ["digest"], "n", total)
             .where("keep is not null and not (keep.row = row and keep.at = at)")
             .groupBy("row").agg(F.array_sort(F.collect_list("at")).alias("dropped")))
     none = F.array().cast("array<int>")

@@ -1,11 +1,14 @@
 """Fuzzy lines against brute force over all pairs."""
 
+import glob
+import os
 import random
 import re
 
 from pyspark.sql import functions as F
 
 from opinara.llm import line_dedup
+from opinara.session import scratch_root
 
 
 def cut(line):
@@ -112,3 +115,22 @@ def test_cutting_is_compiled_and_finds_pairs(spark):
     long = signs(2 * line_dedup.PIECE + 20)
     same = spark.createDataFrame([(0, long), (1, long + "  ")], "line_id long, line string")
     assert line_dedup.band_keys(same).select("key").distinct().count() == line_dedup.BANDS
+
+
+def test_unshared_text_is_not_written(spark):
+    """Lines without a like leave digests and bands in the shared folder, not their text."""
+    random.seed(10)
+    rows = [(i, "".join(chr(random.randrange(0x4E00, 0x9FA5)) for _ in range(4000))) for i in range(100)]
+    root = scratch_root(spark).removeprefix("file://")
+    before = set(os.listdir(root))
+    got = line_dedup.fuzzy_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r.n_kept == 1 for r in got) and len(got) == 100
+    written = sum(os.path.getsize(x) for name in set(os.listdir(root)) - before for x in glob.glob(f"{root}/{name}/*.parquet"))
+    assert 0 < written < 0.3 * sum(len(t.encode()) for _, t in rows)
+
+
+def test_further_links_join_roots(spark):
+    roots = spark.createDataFrame([(1, 1), (4, 1), (2, 2), (9, 2), (5, 5), (6, 5)], "node long, root long")
+    links = spark.createDataFrame([(9, 4), (7, 8), (3, 6)], "a long, b long")
+    got = {r.node: r.root for r in line_dedup.joined(roots, links).collect()}
+    assert got == {1: 1, 4: 1, 2: 1, 9: 1, 5: 3, 6: 3, 3: 3, 7: 7, 8: 7}
