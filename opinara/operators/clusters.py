@@ -8,6 +8,8 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+
+from opinara.operators import kmeans_starts
 from opinara.session import small_table
 
 SEED = 42
@@ -15,6 +17,8 @@ KEYWORDS = 10
 DECIMALS = 5
 # Starts that run side by side on the same vectors.
 PARALLEL_STARTS = 4
+# Rows of more features stay sparse and are MLlib's, one fit a start.
+DENSE_FEATURES = 1_000
 
 
 def cluster_sizes(assigned: DataFrame, cluster: str = "cluster_id") -> DataFrame:
@@ -61,22 +65,33 @@ def assign_nearest(df: DataFrame, vec: str, centers: list[list[float]],
             .drop("__d"))
 
 
-def kmeans_fit(vectors: DataFrame, k: int, n_init: int = 10, features: str = "features",
-               max_iter: int = 300, tol: float = 1e-4) -> tuple[KMeansModel, float]:
-    """The best of ``n_init`` seeded starts, with its inertia."""
-    def start(i: int) -> tuple[KMeansModel, float]:
-        model = KMeans(k=k, seed=SEED + i, featuresCol=features, predictionCol="cluster_id",
+def _starts(vectors: DataFrame, ks: list[int], n_init: int, features: str, max_iter: int, tol: float) -> dict[int, tuple[KMeansModel, float]]:
+    """The best of ``n_init`` starts for every k, with its inertia."""
+    one = vectors.select(features).first()
+    if one is not None and one[features].size <= DENSE_FEATURES:
+        blocks = kmeans_starts.pack(vectors, features)
+        found = kmeans_starts.fit_starts(blocks, ks, n_init, SEED, max_iter, tol)
+        return {k: (kmeans_starts.model_of(blocks, s, features, "cluster_id", max_iter, tol), s.cost) for k, s in found.items()}
+
+    def start(task: tuple[int, int]) -> tuple[KMeansModel, float]:
+        model = KMeans(k=task[0], seed=SEED + task[1], featuresCol=features, predictionCol="cluster_id",
                        maxIter=max_iter, tol=tol).fit(vectors)
         return model, model.summary.trainingCost
 
     with ThreadPoolExecutor(PARALLEL_STARTS) as pool:
-        return min(pool.map(start, range(n_init)), key=lambda found: found[1])
+        return {k: min(pool.map(start, [(k, i) for i in range(n_init)]), key=lambda found: found[1]) for k in ks}
+
+
+def kmeans_fit(vectors: DataFrame, k: int, n_init: int = 10, features: str = "features",
+               max_iter: int = 300, tol: float = 1e-4) -> tuple[KMeansModel, float]:
+    """The best of ``n_init`` seeded starts, with its inertia."""
+    return _starts(vectors, [k], n_init, features, max_iter, tol)[k]
 
 
 def kmeans_elbow(vectors: DataFrame, ks: list[int], n_init: int = 10,
                  features: str = "features") -> tuple[DataFrame, dict[int, KMeansModel]]:
-    """``(numero_clusters_k, inercia)`` and the fitted model of every k."""
-    fits = {k: kmeans_fit(vectors, k, n_init, features) for k in ks}
+    """``(numero_clusters_k, inercia)`` and the fitted model of every k; all starts of all k share their passes."""
+    fits = _starts(vectors, ks, n_init, features, 300, 1e-4)
     rows = [(k, float(cost)) for k, (_, cost) in fits.items()]
     curve = small_table(vectors.sparkSession, rows, "numero_clusters_k int, inercia double")
     return curve, {k: model for k, (model, _) in fits.items()}
