@@ -197,7 +197,7 @@ SELECT doc_id, count(*) AS n, string_agg(CAST(idx AS VARCHAR), ',' ORDER BY idx)
 FROM w JOIN ix USING (term) GROUP BY doc_id""")
 def bow_corpus(t):
     fitted = V.fit_text(t.texts, "doc_id", tokens())
-    bow = V.bow_corpus(fitted.fitted(), V.number_terms(fitted.vocab), "doc_id")
+    bow = fitted.packed().select("doc_id", F.arrays_zip(F.col("indices").alias("idx"), F.col("values").alias("weight")).alias("bow"))
     return bow.select("doc_id", F.size("bow").cast("bigint").alias("n"),
                       F.array_join(F.transform("bow", lambda b: b["idx"].cast("string")), ",").alias("ids"),
                       F.round(F.aggregate("bow", F.lit(0.0), lambda a, b: a + b["weight"]), 5).alias("total"))
