@@ -45,3 +45,26 @@ def test_fewer_distinct_rows_than_clusters(spark):
     df = spark.createDataFrame([(Vectors.dense([float(i % 2), 1.0]),) for i in range(10)], ["features"])
     model, cost = clusters.kmeans_fit(df, 4, n_init=2)
     assert cost == 0 and len(model.clusterCenters()) == 2
+
+
+def test_curve_counts_all_models_in_one_pass(spark, monkeypatch):
+    """The words of every model are scored, and the texts are counted once."""
+    from opinara.operators import coherence, topics
+
+    random = np.random.default_rng(2)
+    docs = [(i, sorted(set(random.choice(12, 5) + 12 * (i % 3)))) for i in range(60)]
+    vectors = spark.createDataFrame([(i, Vectors.sparse(36, [int(j) for j in d], [1.0] * len(d))) for i, d in docs], ["k", "features"])
+    texts = spark.createDataFrame([(i, [f"w{j:02d}" for j in d]) for i, d in docs], ["k", "terms"])
+    numbered = spark.createDataFrame([(j, f"w{j:02d}") for j in range(36)], "idx int, term string")
+    want = {}
+    for k in (2, 3):
+        words = topics.topic_words(topics.lda_fit(vectors.coalesce(1), k, 3), numbered, topics.COHERENCE_WORDS)
+        given = words.selectExpr("cluster_id topic", "rank", "palabra term")
+        want[k] = coherence.model_coherence(texts, given, "c_v").first()[0]
+    seen = []
+    kept = topics.topic_coherence
+    monkeypatch.setattr(topics, "topic_coherence", lambda *a: (seen.append(a[1].count()), kept(*a))[1])
+    got = topics.coherence_curve(vectors.coalesce(1), numbered, texts, [2, 3], "c_v", 3)
+    found = {r[0]: r[1] for r in got.collect()}
+    assert seen == [5 * topics.COHERENCE_WORDS] and found.keys() == want.keys()
+    assert all(0 <= found[k] <= 1 and 0 <= want[k] <= 1 for k in want)
